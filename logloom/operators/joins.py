@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,8 +125,6 @@ def _left_keys(name: Column, depth: int) -> Column:
 
 def swap_aware_distance() -> Callable[[Column, Column], Column]:
     """Vectorised edit distance where an adjacent swap costs 1 (Arrow batches)."""
-    import pandas as pd
-
     def distance(a: str, b: str) -> int:
         before, last = [], list(range(len(b) + 1))
         for i, ca in enumerate(a, start=1):
