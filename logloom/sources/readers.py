@@ -84,13 +84,18 @@ def drop_repeated_header(df: DataFrame, column: str) -> DataFrame:
 def read_labelled_tsv(
     spark: SparkSession, path: str, schema: str, label: str, text: str
 ) -> DataFrame:
-    """(label, text) of a headered TSV; malformed lines are skipped, nulls become ""."""
-    rows = spark.read.csv(
-        path, schema=schema, sep="\t", header=True, mode="DROPMALFORMED", enforceSchema=True
+    """(label, text) of a headered TSV; nulls become "".
+
+    Lines with more cells than the header are skipped, shorter ones are filled.
+    """
+    rows = spark.read.csv(path, schema=f"{schema}, _surplus STRING", sep="\t", header=True)
+    return (
+        rows.where("_surplus IS NULL")
+        .select(
+            F.col(label).cast("string").alias("label"), F.col(text).cast("string").alias("text")
+        )
+        .fillna("")
     )
-    return rows.select(
-        F.col(label).cast("string").alias("label"), F.col(text).cast("string").alias("text")
-    ).fillna("")
 
 
 def read_compressed_tsv(
