@@ -141,7 +141,8 @@ def swap_aware_distance() -> Callable[[Column, Column], Column]:
     def distances(left: pd.Series, right: pd.Series) -> pd.Series:
         return pd.Series([distance(a, b) for a, b in zip(left, right)], dtype="int32")
 
-    return distances
+    # keeps Spark from moving the comparison below the de-duplication of pairs
+    return distances.asNondeterministic()
 
 
 def fuzzy_join(
@@ -177,11 +178,8 @@ def fuzzy_join(
         "_order",
         F.explode(_right_keys(F.col(right_on), max_dist)).alias("_key"),
     )
-    # a swap costs 1 here and 2 under plain Levenshtein, hence the doubled bound
-    plain = F.levenshtein("_left", "_right", 2 * max_dist)
     pairs = (
         left_keys.join(right_keys, ["_g", "_key"])
-        .where(plain >= 0)
         .select("_g", "_left", "_right", "_order")
         .distinct()
         .withColumn("_dist", swap_aware_distance()("_left", "_right"))

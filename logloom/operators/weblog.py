@@ -19,6 +19,7 @@ from logloom.functions.weblog import (
 )
 from logloom.plans.segments import assign_parts, previous_value
 
+GROUP_MARK = "\x01"
 #: A visitor's pages are returned in one row up to this many.
 MAX_PAGES = 100_000
 
@@ -34,17 +35,29 @@ def parse_access_log(
     """
     pattern = line_pattern(session)
     names = [*FIELDS, *(["session_raw"] if session else [])]
-    matched = F.coalesce(F.col(line).rlike(pattern), F.lit(False))
+    others = [c for c in df.columns if c != line]
+    # One pass over the line: its groups joined by a control character, then cut.
+    # The one-element explode keeps later filters from repeating the pattern.
+    groups = GROUP_MARK.join(f"${i}" for i in range(1, len(names) + 1))
+    cut = F.split(F.regexp_replace(line, f"(?s)^.*?{pattern}.*$", groups), GROUP_MARK, -1)
+    cuts = df.select(*df.columns, F.explode(F.array(cut)).alias("_cut"))
+    clean = ~F.col(line).contains(GROUP_MARK)
+    # a line that holds the control character itself is read group by group
+    slow = F.when(
+        ~clean & F.col(line).rlike(pattern),
+        F.array(*[F.regexp_extract(line, pattern, i) for i in range(1, len(names) + 1)]),
+    )
+    fast = F.when(clean & (F.size("_cut") == len(names)), F.col("_cut"))
+    cells = cuts.select(*others, F.coalesce(fast, slow).alias("_cells"))
 
     def cell(name: str):
-        return F.when(matched, F.regexp_extract(line, pattern, names.index(name) + 1))
+        return F.get("_cells", F.lit(names.index(name)))
 
-    others = [c for c in df.columns if c != line]
     columns = [
         F.nullif(cell("ip"), F.lit("")).alias("ip"),
         cell("time").alias("date_time"),
-        F.when(matched, parse_log_time(cell("time"))).alias("ts"),
-        F.when(matched, request_uri(cell("request"), strict)).alias("requested_resource"),
+        parse_log_time(cell("time")).alias("ts"),
+        request_uri(cell("request"), strict).alias("requested_resource"),
         cell("status").try_cast("int").alias("status"),
         cell("bytes").try_cast("bigint").alias("bytes"),
         cell("referer").alias("referer"),
@@ -53,7 +66,7 @@ def parse_access_log(
     if session:
         columns.append(cell("session_raw").alias("session_raw"))
         columns.append(session_value(cell("session_raw")).alias("session_id"))
-    return df.select(*others, matched.alias("matched"), *columns)
+    return cells.select(*others, F.col("_cells").isNotNull().alias("matched"), *columns)
 
 
 def pages_only(log: DataFrame, suffixes: Sequence[str] = ASSET_SUFFIXES) -> DataFrame:

@@ -58,9 +58,14 @@ def test_rejects_and_typed_cells(spark):
         line("", "bad", "GET /x.png HTTP/1.1", "A", "-", "-", 404, "-"),
         line("10.0.0.1", "07/Feb/2014:17:59:08 +0000", "GET /a.js HTTP/1.1", "A"),
         None,
+        line("10.0.0.2", "07/Feb/2014:17:59:09 +0000", "GET /m.html HTTP/1.1", "odd\x01agent"),
+        "prefix " + line("10.0.0.3", "07/Feb/2014:17:59:09 +0000", "GET /n HTTP/1.1", "A$1") + " x\ny",
+        "\x01" * 9,
     ]
     rows = parsed(spark, lines).orderBy("seq").collect()
-    assert [r.matched for r in rows] == [True, False, False, True, True, False]
+    assert [r.matched for r in rows] == [True, False, False, True, True, False, True, True, False]
+    assert (rows[6].user_agent, rows[6].requested_resource) == ("odd\x01agent", "/m.html")
+    assert (rows[7].ip, rows[7].user_agent) == ("10.0.0.3", "A$1")
     first = rows[0]
     assert first.requested_resource == "/1.1" and first.status == 200 and first.bytes == 10
     assert str(first.ts) and first.session_raw == '"-"' and first.session_id is None
@@ -70,9 +75,9 @@ def test_rejects_and_typed_cells(spark):
     strict = parsed(spark, lines, strict=True).orderBy("seq").first()
     assert strict.requested_resource == "/"
     kept = weblog.pages_only(parsed(spark, lines))
-    assert {r.seq for r in kept.collect()} == {0, 3}
+    assert {r.seq for r in kept.collect()} == {0, 3, 6, 7}
     counts = error_counts(parsed(spark, lines), ~F.col("matched")).first()
-    assert (counts["read"], counts.failed) == (6, 3)
+    assert (counts["read"], counts.failed) == (9, 4)
 
 
 def test_missing_ip_visitor(spark):
