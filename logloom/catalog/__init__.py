@@ -1,6 +1,6 @@
 """Runnable queries over the standard tables, with the SQL that states their result."""
 
-from logloom.catalog import logs, tables
+from logloom.catalog import items, logs, streams, tables, texts, vectors
 from logloom.catalog.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "logs", "tables"]
+__all__ = ["ORACLES", "QUERIES", "items", "logs", "streams", "tables", "texts", "vectors"]

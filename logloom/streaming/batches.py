@@ -63,3 +63,19 @@ def run_available(
 def sum_batches(per_batch: DataFrame, keys: list[str], count: str) -> DataFrame:
     """Totals over all batches of an additive metric."""
     return per_batch.groupBy(*keys).agg(F.sum(count).alias(count))
+
+
+def append_available(spark: SparkSession, stream: DataFrame, folder: str | None = None):
+    """Write an append-mode stream to Parquet until nothing is left, and read it back."""
+    target = folder or work_dir(spark, "stream")
+    query = (
+        stream.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", f"{target}/_progress")
+        .trigger(availableNow=True)
+        .start(f"{target}/rows")
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return spark.read.schema(stream.schema).parquet(f"{target}/rows")
