@@ -21,11 +21,6 @@ def digest(column: Column) -> Column:
     return F.md5(column.cast("binary"))
 
 
-def excluded() -> list[str]:
-    # Spark's English list, spelled out in SQL only when an oracle is asked for
-    return tx.excluded_tokens()
-
-
 @query(
     "word_count",
     r"""
@@ -140,39 +135,37 @@ def _summary(tokens: DataFrame) -> DataFrame:
     )
 
 
-@query("clean_post")
+WORDS = quoted(tx.excluded_tokens())
+PLAIN = "x"
+STEMMED = "CASE WHEN regexp_matches(x, '^[a-z]{3,}ed$') THEN left(x, length(x) - 2) ELSE x END"
+
+
+def _token_sql(lemma: str) -> str:
+    return TOKEN_SQL.format(words=WORDS, email=EMAIL_SQL, lemma=lemma)
+
+
+@query("clean_post", CLEAN_SQL.format(words=WORDS))
 def clean_post(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", digest(tx.clean_post(F.col("text"))).alias("clean"))
 
 
-@query("tokenize")
+@query("tokenize", _token_sql(PLAIN))
 def tokenize(t: Tables) -> DataFrame:
     return _summary(text.tokenize(t.documents, "doc_id", "text"))
 
 
 def _lemmas(t: Tables) -> DataFrame:
     # "walked" -> "walk" for every such word of the corpus
-    tokens = t.documents.select(F.explode(tx.basic_tokens(F.col("text"), excluded())).alias("token"))
+    tokens = t.documents.select(F.explode(tx.basic_tokens(F.col("text"), tx.excluded_tokens())).alias("token"))
     known = tokens.where(F.col("token").rlike("^[a-z]{3,}ed$")).distinct()
     return known.select("token", F.regexp_replace("token", "ed$", "").alias("value"))
 
 
-@query("tokenize_lemmas")
+@query("tokenize_lemmas", _token_sql(STEMMED))
 def tokenize_lemmas(t: Tables) -> DataFrame:
     return _summary(text.tokenize(t.documents, "doc_id", "text", _lemmas(t)))
 
 
-def add_word_list_oracles(oracles: dict[str, str]) -> dict[str, str]:
-    """Oracles that need the stop-word list, which Spark has to be running for."""
-    words = quoted(excluded())
-    plain = {"words": words, "email": EMAIL_SQL}
-    lemma = "CASE WHEN regexp_matches(x, '^[a-z]{3,}ed$') THEN left(x, length(x) - 2) ELSE x END"
-    oracles["clean_post"] = CLEAN_SQL.format(words=words).strip()
-    oracles["tokenize"] = TOKEN_SQL.format(lemma="x", **plain).strip()
-    oracles["tokenize_lemmas"] = TOKEN_SQL.format(lemma=lemma, **plain).strip()
-    return oracles
-
-
 @query(
     "expand_contractions",
     r"""

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import glob
+import os
 import string
+import zipfile
 from collections.abc import Iterable
 
+import pyspark
+from pyspark import SparkContext
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -110,10 +115,20 @@ def remove_emails(text: Column) -> Column:
     return F.when(candidate, F.regexp_replace(text, EMAIL_PATTERN, " ")).otherwise(text)
 
 
+def english_stop_words() -> list[str]:
+    """Spark's English stop words; read from its library when no session runs."""
+    if SparkContext._active_spark_context is not None:
+        return list(StopWordsRemover.loadDefaultStopWords("english"))
+    home = os.environ.get("SPARK_HOME") or os.path.dirname(pyspark.__file__)
+    (jar,) = glob.glob(os.path.join(home, "jars", "spark-mllib_*.jar"))
+    with zipfile.ZipFile(jar) as library:
+        words = library.read("org/apache/spark/ml/feature/stopwords/english.txt")
+    return words.decode("utf-8").split("\n")
+
+
 def excluded_tokens(extra: Iterable[str] = ("urllink",)) -> list[str]:
     """English stop words as shipped with Spark, ASCII punctuation, and extras."""
-    words = StopWordsRemover.loadDefaultStopWords("english")
-    return sorted({*words, *string.punctuation, *extra})
+    return sorted({*english_stop_words(), *string.punctuation, *extra} - {""})
 
 
 def drop_tokens(tokens: Column, excluded: Iterable[str]) -> Column:

@@ -165,16 +165,32 @@ def read_author_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def parse_blogs(df: DataFrame, column: str) -> DataFrame:
+    """The same ``date``, ``post`` and ``corrupt`` from a column of XML texts."""
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": "_corrupt_record",
+        "ignoreSurroundingSpaces": "true",
+    }
+    others = [c for c in df.columns if c != column]
+    parsed = df.select(*others, F.from_xml(column, BLOG_SCHEMA, options).alias("_blog"))
+    return parsed.select(
+        *others,
+        "_blog.date",
+        "_blog.post",
+        F.col("_blog._corrupt_record").isNotNull().alias("corrupt"),
+    )
+
+
 def explode_posts(authors: DataFrame) -> DataFrame:
     """One row per post; dates and posts pair by position up to the shorter list."""
     n = F.least(F.size("date"), F.size("post"))
     pairs = F.arrays_zip(
         F.slice("date", F.lit(1), n).alias("date"), F.slice("post", F.lit(1), n).alias("post")
     )
-    rows = authors.where(n > 0).select(
-        "file", "blogger_id", F.posexplode(pairs).alias("post_no", "pair")
-    )
-    return rows.select("file", "blogger_id", "post_no", "pair.date", "pair.post")
+    others = [c for c in authors.columns if c not in ("date", "post", "corrupt")]
+    rows = authors.where(n > 0).select(*others, F.posexplode(pairs).alias("post_no", "pair"))
+    return rows.select(*others, "post_no", "pair.date", "pair.post")
 
 
 def first_post(authors: DataFrame) -> DataFrame:

@@ -28,7 +28,9 @@ def write_tsv(df: DataFrame, path: str, compress: bool = False) -> None:
         else F.col(f.name)
         for f in df.schema.fields
     ]
-    options = {"compression": "gzip"} if compress else {}
+    options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    if compress:
+        options["compression"] = "gzip"
     df.select(*cells).write.mode("overwrite").csv(path, sep="\t", header=True, **options)
 
 
