@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logloom.plans.spread import spread
 from logloom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,10 @@ class Tables:
         self.spark = spark
         self.folder = folder.rstrip("/")
 
+    def spread(self, name: str) -> DataFrame:
+        """The table for CPU-heavy work: with at least as many tasks as cores."""
+        return spread(getattr(self, name))
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 

@@ -52,7 +52,7 @@ def sensor_csv(t: Tables) -> DataFrame:
 )
 def line_word_count(t: Tables) -> DataFrame:
     path = _fresh(t, "lines")
-    t.documents.select("text").write.text(path)
+    t.spread("documents").select("text").write.text(path)
     return text.word_count(readers.read_lines(t.spark, path)).withColumnRenamed("count", "n")
 
 
@@ -65,7 +65,7 @@ def line_word_count(t: Tables) -> DataFrame:
 )
 def labelled_tsv(t: Tables) -> DataFrame:
     path = _fresh(t, "labelled")
-    rows = t.documents.select("doc_id", "text").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
+    rows = t.spread("documents").select("doc_id", "text").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
     sinks.write_tsv(rows, path)
     schema = "doc_id BIGINT, body STRING, mark STRING"
     back = readers.read_labelled_tsv(t.spark, path, schema, "mark", "body")
@@ -80,7 +80,7 @@ def labelled_tsv(t: Tables) -> DataFrame:
 )
 def compressed_tsv(t: Tables) -> DataFrame:
     path = _fresh(t, "posts")
-    sinks.write_tsv(t.documents.select("doc_id", "lang", "text"), path, compress=True)
+    sinks.write_tsv(t.spread("documents").select("doc_id", "lang", "text"), path, compress=True)
     schema = "doc_id BIGINT, lang STRING, text STRING"
     rows = readers.read_compressed_tsv(
         t.spark, path, schema, ["doc_id", "text"], F.col("lang").isin("en", "fr")
@@ -289,7 +289,7 @@ def _blogs(t: Tables) -> DataFrame:
     # one <Blog> per conversation; every third one has a date without a post
     day = F.concat(((F.col("turn") % 28) + 1).cast("string"), F.lit(",May,2004"))
     post = F.concat(F.lit("<date>"), day, F.lit("</date><post>"), _xml(F.col("text")), F.lit("</post>"))
-    turns = t.conversations.groupBy("conv_id").agg(
+    turns = t.spread("conversations").groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("turn", F.replace(post, F.lit("\n"), F.lit(" ")).alias("x")))).alias("l")
     )
     extra = F.when(F.col("conv_id") % 3 == 0, "<date>1,June,2004</date>").otherwise("")

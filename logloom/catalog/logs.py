@@ -113,7 +113,7 @@ WITH log AS (
 
 
 def parsed(t: Tables) -> DataFrame:
-    return weblog.parse_access_log(log_lines(t.events), session=True)
+    return weblog.parse_access_log(log_lines(t.spread("events")), session=True)
 
 
 def pages(t: Tables) -> DataFrame:

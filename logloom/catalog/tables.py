@@ -235,8 +235,8 @@ def _misspelt(t: Tables) -> tuple[DataFrame, DataFrame]:
     again = F.concat(F.lit("q"), cut)
     kind = F.col("p_partkey") % 4
     written = F.when(kind == 0, cut).when(kind == 1, again).when(kind == 2, grown).otherwise(label)
-    left = t.part.select("p_partkey", "p_brand", written.alias("written"))
-    right = t.part.select("p_brand", label.alias("label"), F.col("p_partkey").alias("ord"))
+    left = t.spread("part").select("p_partkey", "p_brand", written.alias("written"))
+    right = t.spread("part").select("p_brand", label.alias("label"), F.col("p_partkey").alias("ord"))
     return left, right
 
 
@@ -392,7 +392,7 @@ def allowed_files(t: Tables) -> DataFrame:
     """,
 )
 def extract_links(t: Tables) -> DataFrame:
-    return html.extract_links(t.pages, prefix=F.lit("http://site.example"))
+    return html.extract_links(t.spread("pages"), prefix=F.lit("http://site.example"))
 
 
 @query(
@@ -413,7 +413,7 @@ def page_fields(t: Tables) -> DataFrame:
         "headline": r"(?is)<h1[^>]*>(.*?)</h1>",
         "lang": r'(?is)<html lang="([^"]*)"',
     }
-    return html.extract_fields(t.pages, rules).select("page_id", "url", "title", "headline", "lang")
+    return html.extract_fields(t.spread("pages"), rules).select("page_id", "url", "title", "headline", "lang")
 
 
 @query(

@@ -10,6 +10,7 @@ from logloom.functions import text as tx
 from logloom.functions.dates import iso_or_empty, parse_alert_date, parse_post_date
 from logloom.functions.weblog import cookie_names, cookie_pair
 from logloom.operators import features, text
+from logloom.plans.rows import elements
 
 
 def quoted(words) -> str:
@@ -33,7 +34,7 @@ def digest(column: Column) -> Column:
     """,
 )
 def word_count(t: Tables) -> DataFrame:
-    return text.word_count(t.documents, "text").withColumnRenamed("count", "n")
+    return text.word_count(t.spread("documents"), "text").withColumnRenamed("count", "n")
 
 
 @query(
@@ -49,7 +50,7 @@ def word_count(t: Tables) -> DataFrame:
 )
 def whitespace_cleaning(t: Tables) -> DataFrame:
     c = F.col("text")
-    return t.documents.select(
+    return t.spread("documents").select(
         "doc_id",
         digest(tx.flatten_whitespace(c)).alias("flat"),
         digest(tx.spaces_and_plus(c)).alias("plus"),
@@ -68,7 +69,7 @@ def whitespace_cleaning(t: Tables) -> DataFrame:
     """,
 )
 def squeeze_repeats(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", digest(tx.squeeze_repeats(F.col("text"))).alias("squeezed"))
+    return t.spread("documents").select("doc_id", digest(tx.squeeze_repeats(F.col("text"))).alias("squeezed"))
 
 
 EMAIL_SQL = "'" + tx.EMAIL_PATTERN.replace("'", "''") + "'"
@@ -79,7 +80,7 @@ EMAIL_SQL = "'" + tx.EMAIL_PATTERN.replace("'", "''") + "'"
     f"SELECT doc_id, md5(regexp_replace(text, {EMAIL_SQL}, ' ', 'g')) AS clean FROM documents",
 )
 def remove_emails(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", digest(tx.remove_emails(F.col("text"))).alias("clean"))
+    return t.spread("documents").select("doc_id", digest(tx.remove_emails(F.col("text"))).alias("clean"))
 
 
 @query(
@@ -95,7 +96,7 @@ def remove_emails(t: Tables) -> DataFrame:
 )
 def url_tokens(t: Tables) -> DataFrame:
     tokens = tx.whitespace_tokens(F.col("text"))
-    return t.documents.select(
+    return t.spread("documents").select(
         "doc_id",
         F.size(tokens).cast("bigint").alias("n_tokens"),
         F.size(tx.drop_urls(tokens)).cast("bigint").alias("n_kept"),
@@ -146,24 +147,25 @@ def _token_sql(lemma: str) -> str:
 
 @query("clean_post", CLEAN_SQL.format(words=WORDS))
 def clean_post(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", digest(tx.clean_post(F.col("text"))).alias("clean"))
+    return t.spread("documents").select("doc_id", digest(tx.clean_post(F.col("text"))).alias("clean"))
 
 
 @query("tokenize", _token_sql(PLAIN))
 def tokenize(t: Tables) -> DataFrame:
-    return _summary(text.tokenize(t.documents, "doc_id", "text"))
+    return _summary(text.tokenize(t.spread("documents"), "doc_id", "text"))
 
 
 def _lemmas(t: Tables) -> DataFrame:
     # "walked" -> "walk" for every such word of the corpus
-    tokens = t.documents.select(F.explode(tx.basic_tokens(F.col("text"), tx.excluded_tokens())).alias("token"))
+    basic = tx.basic_tokens(F.col("text"), tx.excluded_tokens())
+    tokens = elements(t.spread("documents"), [], basic, "token")
     known = tokens.where(F.col("token").rlike("^[a-z]{3,}ed$")).distinct()
     return known.select("token", F.regexp_replace("token", "ed$", "").alias("value"))
 
 
 @query("tokenize_lemmas", _token_sql(STEMMED))
 def tokenize_lemmas(t: Tables) -> DataFrame:
-    return _summary(text.tokenize(t.documents, "doc_id", "text", _lemmas(t)))
+    return _summary(text.tokenize(t.spread("documents"), "doc_id", "text", _lemmas(t)))
 
 
 @query(
@@ -178,10 +180,10 @@ def tokenize_lemmas(t: Tables) -> DataFrame:
     """,
 )
 def expand_contractions(t: Tables) -> DataFrame:
-    docs = t.documents.select(
+    docs = t.spread("documents").select(
         "doc_id", F.filter(F.split("text", " ", -1), lambda x: x != "").alias("tokens")
     )
-    words = docs.select(F.explode("tokens").alias("token")).where(F.col("token").rlike("^th[a-z]{6,}$"))
+    words = elements(docs, [], "tokens", "token").where(F.col("token").rlike("^th[a-z]{6,}$"))
     table = words.distinct().select(
         "token", F.concat(F.lit("th "), F.substring("token", 3, 1000)).alias("value")
     )
@@ -225,7 +227,7 @@ def token_lists(t: Tables) -> DataFrame:
     words = F.filter(F.split(F.lower("text"), " ", -1), lambda x: x.rlike("^[a-z]+$"))
     stored = F.concat(F.lit("['"), F.array_join(words, "', '"), F.lit("']"))
     stored = F.when(F.size(words) == 0, "[]").otherwise(stored)
-    return t.documents.select(
+    return t.spread("documents").select(
         "doc_id", digest(F.array_join(tx.parse_token_list(stored), "|")).alias("tokens")
     )
 
@@ -255,7 +257,7 @@ def cookies(t: Tables) -> DataFrame:
 
 
 def docs(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", tx.terms(F.col("text")).alias("tokens"))
+    return t.spread("documents").select("doc_id", tx.terms(F.col("text")).alias("tokens"))
 
 
 TERMS_SQL = r"""
@@ -351,7 +353,7 @@ def top_corpus_terms(t: Tables) -> DataFrame:
 
 
 def vocabulary_docs(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", tx.vocabulary_words(F.col("text")).alias("words"))
+    return t.spread("documents").select("doc_id", tx.vocabulary_words(F.col("text")).alias("words"))
 
 
 VOCAB_SQL = r"""

@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 
 from logloom.functions.arrays import argmax, zeros
 from logloom.operators.aggregates import top_per_group, top_rows
+from logloom.plans.rows import elements
 from logloom.plans.segments import number_rows
 from logloom.plans.skew import hot_keys, salted_join
 
 
 def term_counts(df: DataFrame, doc: str, tokens: str) -> DataFrame:
     """(doc, term, tf)."""
-    uses = df.select(doc, F.explode(tokens).alias("term"))
+    uses = elements(df, [doc], tokens, "term")
     return uses.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequencies(df: DataFrame, tokens: str) -> DataFrame:
     """(term, df)."""
-    terms = df.select(F.explode(F.array_distinct(tokens)).alias("term"))
+    terms = elements(df, [], F.array_distinct(tokens), "term")
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from logloom.functions.arrays import pad_front
 from logloom.functions.text import basic_tokens, excluded_tokens, final_tokens, java_split
+from logloom.plans.rows import elements, numbered_elements
 from logloom.plans.segments import number_rows
 from logloom.plans.skew import hot_keys, salted_join
 
 
 def words_of(df: DataFrame, text: str = "value") -> DataFrame:
-    return df.select(F.explode(java_split(F.col(text))).alias("word"))
+    return elements(df, [], java_split(F.col(text)), "word")
 
 
 def word_count(df: DataFrame, text: str = "value") -> DataFrame:
@@ -24,9 +25,8 @@ def word_count(df: DataFrame, text: str = "value") -> DataFrame:
 
 def distinct_elements(df: DataFrame, array: str, approx: bool = False) -> DataFrame:
     """Number of distinct elements over a whole array column."""
-    elements = df.select(F.explode(array).alias("element"))
     count = F.approx_count_distinct if approx else F.count_distinct
-    return elements.agg(count("element").alias("n_distinct"))
+    return elements(df, [], array, "element").agg(count("element").alias("n_distinct"))
 
 
 def term_frequencies(df: DataFrame, tokens: str) -> DataFrame:
@@ -39,7 +39,7 @@ def term_frequencies(df: DataFrame, tokens: str) -> DataFrame:
         F.array_distinct(tokens), lambda t: F.struct(t.alias("t"), F.lit(1).alias("d"))
     )
     used = F.transform(tokens, lambda t: F.struct(t.alias("t"), F.lit(0).alias("d")))
-    marks = df.select(F.explode(F.concat(seen, used)).alias("_m"))
+    marks = elements(df, [], F.concat(seen, used), "_m")
     return marks.groupBy(F.col("_m.t").alias("term")).agg(
         F.sum(F.col("_m.d").cast("bigint")).alias("df"),
         F.sum((1 - F.col("_m.d")).cast("bigint")).alias("cf"),
@@ -100,7 +100,7 @@ def fit_vocabulary(df: DataFrame, doc: str, words: str, cap: int | None = None)
     With ``cap`` only indices below it are kept, found by a distributed top-n;
     otherwise words are numbered in parallel per count.
     """
-    uses = df.select(F.col(doc).alias("_d"), F.posexplode(words).alias("_p", "word"))
+    uses = numbered_elements(df, [F.col(doc).alias("_d")], words, "_p", "word")
     counted = uses.groupBy("word").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("_d", "_p")).alias("_first")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logloom.plans.rows import elements, numbered_elements
+
 LINK_PATTERN = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 
 
@@ -23,7 +25,7 @@ def extract_links(
     """One row per anchor: other columns, ``link_no``, ``href``, ``label``."""
     anchors = F.regexp_extract_all(F.col(html), F.lit(LINK_PATTERN), F.lit(0))
     keep = [c for c in pages.columns if c != html]
-    rows = pages.select(*keep, F.posexplode(anchors).alias("link_no", "_anchor"))
+    rows = numbered_elements(pages, keep, anchors, "link_no", "_anchor")
     href = F.regexp_extract("_anchor", LINK_PATTERN, 1)
     return rows.select(
         *keep,
@@ -78,6 +80,6 @@ def extract_photo_fields(pages: DataFrame, url: str = "url") -> DataFrame:
 def extract_alerts(pages: DataFrame, prefix: str, html: str = "html") -> DataFrame:
     """Date, URL, Headline of every list item that holds a link."""
     items = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<li\b[^>]*>(.*?)</li>"), F.lit(1))
-    rows = pages.select(F.explode(items).alias("html")).where(F.col("html").rlike("(?i)<a[^>]*href="))
+    rows = elements(pages, [], items, "html").where(F.col("html").rlike("(?i)<a[^>]*href="))
     fields = extract_fields(rows, ALERT_RULES)
     return fields.select("Date", F.concat(F.lit(prefix), "URL").alias("URL"), "Headline")

@@ -42,8 +42,26 @@ def check(spark, prefs, **kw):
     sim, recs = brute(prefs, 4)
     got = {(r.item_a, r.item_b): r.similarity for r in recsys.item_similarity(df).collect()}
     assert got == sim and all(0 < s <= 1 for s in got.values())
-    out = {(r.base_id, r.item_id): r.relevance for r in recsys.recommend(df).collect()}
-    assert out == recs
+    for size in ({}, {"bucket_prefs": 7, "panel_items": 3}):
+        rows = recsys.recommend(df, **size).collect()
+        assert {(r.base_id, r.item_id): r.relevance for r in rows} == recs
+        assert len(rows) == len(recs)
+
+
+def test_scores_in_small_chunks(spark, monkeypatch):
+    # the scorer sees the constant through its globals, so it is called directly
+    import pandas as pd
+
+    monkeypatch.setattr(recsys, "CELL_ENTRIES", 3)
+    rng = random.Random(8)
+    prefs = sorted({(rng.randrange(9), rng.randrange(12)) for _ in range(50)})
+    sim, recs = brute(prefs, 4)
+    both = [(a, b, s) for (a, b), s in sim.items()] + [(b, a, s) for (a, b), s in sim.items()]
+    owned = pd.DataFrame([(b, i, h) for b, i in prefs for h in (0, 1)], columns=["base_id", "item_id", "_held"])
+    sims = pd.DataFrame(both, columns=["_item", "other_id", "similarity"])
+    out = recsys._panel_scorer(4, 9)(owned, sims)
+    got = {(int(b), int(i)): r for b, i, r in out.itertuples(index=False)}
+    assert got == recs
 
 
 def test_small_model(spark):
