@@ -40,18 +40,32 @@ def smooth_idf(n: Column, df: Column) -> Column:
     return F.log((F.lit(1) + n) / (F.lit(1) + df)) + 1
 
 
-def idf_table(
-    df: DataFrame, tokens: str, min_df: float | int = 1, max_df: float | int = 1.0
+def frequencies_of(counts: DataFrame) -> DataFrame:
+    """(term, df) of a (doc, term, tf) table.
+
+    Testing ``tf`` keeps this side's columns equal to those of the table itself,
+    so that a plan that needs both shuffles the (doc, term) pairs once.
+    """
+    return counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+
+
+def _weighted_terms(
+    freqs: DataFrame, n: Column, min_df: float | int, max_df: float | int
 ) -> DataFrame:
-    """(term, df, idf) of the terms within the document-frequency limits."""
-    n = row_total(df)
-    freqs = document_frequencies(df, tokens).withColumn("_n", n)
+    freqs = freqs.withColumn("_n", n)
     kept = freqs.where(
         (F.col("df") >= _limit(min_df, F.col("_n"))) & (F.col("df") <= _limit(max_df, F.col("_n")))
     )
     return kept.select("term", "df", smooth_idf(F.col("_n"), F.col("df")).alias("idf"))
 
 
+def idf_table(
+    df: DataFrame, tokens: str, min_df: float | int = 1, max_df: float | int = 1.0
+) -> DataFrame:
+    """(term, df, idf) of the terms within the document-frequency limits."""
+    return _weighted_terms(document_frequencies(df, tokens), row_total(df), min_df, max_df)
+
+
 def tfidf(
     df: DataFrame,
     doc: str,
@@ -62,8 +76,8 @@ def tfidf(
     norm: bool = True,
 ) -> DataFrame:
     """(doc, term, weight), L2-normalised per document unless ``norm`` is off."""
-    idf = idf_table(df, tokens, min_df, max_df)
     counts = term_counts(df, doc, tokens)
+    idf = _weighted_terms(frequencies_of(counts), row_total(df), min_df, max_df)
     hot = hot_keys(idf, "term", "df")
     joined = salted_join(counts, idf, "term", hot, F.col(doc))
     tf = 1 + F.log("tf") if sublinear else F.col("tf")
@@ -119,8 +133,7 @@ def label_index(df: DataFrame, label: str, first_seen: str | None = None) -> Dat
 def _vector_sums(counts: DataFrame, doc: str, vectors: DataFrame, dim: int) -> DataFrame:
     # counts: (doc, term, tf); vectors: (term, vec, w). One fixed-width sum per
     # dimension, so the map side combines and no (document, dimension) rows exist.
-    per_term = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_docs"))
-    hot = hot_keys(per_term, "term", "_docs")
+    hot = hot_keys(frequencies_of(counts), "term", "df")
     joined = salted_join(counts, vectors, "term", hot, F.col(doc))
     share = F.col("tf") * F.col("w")
     sums = [
