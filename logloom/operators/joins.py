@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from logloom.operators.cleaning import dedup_keep, union_all
 from logloom.plans.skew import hot_keys, salted_join
+from logloom.plans.spread import widen
 
 
 def inner_on(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -53,23 +54,29 @@ def lookup_first(
 VARIANT_LENGTH = 64
 
 
-def _one_shorter(text: Column) -> Column:
-    n = F.length(text)
-    cut = F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1, n)),
+def _shorter(state: Column) -> Column:
+    # the variant without one more character, at or after the last cut: every
+    # choice of characters is made once
+    text, start, n = state["v"], state["p"], F.length(state["v"])
+    cuts = F.transform(
+        F.sequence(start, n),
+        lambda i: F.struct(
+            F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1, n)).alias("v"),
+            i.alias("p"),
+        ),
     )
-    return F.when(n > 0, cut).otherwise(F.array().cast("array<string>"))
+    return F.when(start <= n, cuts).otherwise(F.array().cast("array<struct<v:string,p:int>>"))
 
 
 def _variants(text: Column, depth: int) -> Column:
     # Two strings within ``depth`` edits (adjacent swaps included) share a
     # string that each reaches by at most ``depth`` deletions.
-    found = F.array(text)
+    level = F.array(F.struct(text.alias("v"), F.lit(1).alias("p")))
+    levels = [level]
     for _ in range(depth):
-        shorter = F.flatten(F.transform(found, _one_shorter))
-        found = F.array_distinct(F.concat(found, shorter))
-    return F.transform(found, lambda v: F.xxhash64(v))
+        level = F.flatten(F.transform(level, _shorter))
+        levels.append(level)
+    return F.array_distinct(F.transform(F.concat(*levels), lambda s: F.xxhash64(s["v"])))
 
 
 def _piece_key(n: Column, piece: Column, text: Column) -> Column:
@@ -167,12 +174,12 @@ def fuzzy_join(
     targets = right.where(F.col(right_on).isNotNull()).groupBy(group, right_on).agg(
         F.min(right_order).alias("_order")
     )
-    left_keys = names.select(
+    left_keys = widen(names).select(
         F.col(group).alias("_g"),
         F.col(left_on).alias("_left"),
         F.explode(_left_keys(F.col(left_on), max_dist)).alias("_key"),
     )
-    right_keys = targets.select(
+    right_keys = widen(targets).select(
         F.col(group).alias("_g"),
         F.col(right_on).alias("_right"),
         "_order",

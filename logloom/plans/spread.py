@@ -15,3 +15,13 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """As many tasks as a shuffle has, for rows that expand into many more.
+
+    Adaptive execution sizes tasks by their input, so a small table of names
+    that grows a hundredfold would otherwise be expanded by one task.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks)

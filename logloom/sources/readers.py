@@ -39,6 +39,15 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def _line_order() -> Column:
+    """Sorts rows by file, block of the file and place in the block."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
+
 def stream_lines(
     spark: SparkSession, folder: str, files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -224,10 +233,7 @@ def parse_word_vectors(lines: DataFrame, dim: int) -> DataFrame:
 
 def read_word_vectors(spark: SparkSession, path: str, dim: int) -> DataFrame:
     """Word vectors from text files; a repeated word keeps its later line."""
-    lines = read_lines(spark, path).select(
-        "value",
-        F.struct("file", "block", F.monotonically_increasing_id()).alias("line_no"),
-    )
+    lines = spark.read.text(path).select("value", _line_order().alias("line_no"))
     return parse_word_vectors(lines, dim)
 
 
@@ -277,7 +283,5 @@ def read_work_list(spark: SparkSession, path: str, schema: str) -> DataFrame:
     from logloom.operators.cleaning import dedup_keep
 
     rows = spark.read.csv(path, schema=schema, sep="\t", header=True)
-    pending = rows.where(F.col("Size").isNull()).withColumn(
-        "_line", F.monotonically_increasing_id()
-    )
+    pending = rows.withColumn("_line", _line_order()).where(F.col("Size").isNull())
     return dedup_keep(pending, ["ImageURL"], ["_line"], keep="last").drop("_line")

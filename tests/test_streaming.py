@@ -104,3 +104,10 @@ def test_counts_add_up(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x y\ny\n")
     got = {r.word: r["count"] for r in word_count(spark.read.text(str(tmp_path))).collect()}
     assert got == Counter("x y y".split())
+
+
+def test_printed_batches(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x\n")
+    query = batches.print_batches(stream_lines(spark, str(tmp_path)), availableNow=True)
+    query.awaitTermination()
+    assert query.exception() is None
