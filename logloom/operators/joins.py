@@ -205,7 +205,8 @@ def fuzzy_join(
         return df.withColumn("_name", F.struct(F.col(group).alias("g"), F.col(left_on).alias("n")))
 
     hot = hot_keys(name_key(names), "_name", "_rows")
-    spread = F.struct(*[F.col(c) for c in left.columns])
+    # maps cannot be hashed; any other columns tell the rows of one name apart
+    spread = F.struct(*[F.col(c) for c, kind in left.dtypes if "map<" not in kind])
     return salted_join(name_key(left), matches, "_name", hot, spread).drop("_name")
 
 
