@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from logloom.catalog.base import Tables
-from logloom.llm import near_dedup
-from logloom.session import configure
+from logloom.llm import byte_bpe, language, mixing, near_dedup, quality, toxicity, warc
+from logloom.session import configure, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,53 @@ def query(function: Callable[[Tables], DataFrame]):
     return function
 
 
+@query
+def op3_toxicity(t: Tables) -> DataFrame:
+    """Toxicity score of every document, learned from the labels that are not held out."""
+    return toxicity.classify(t.documents, toxicity.fit(t.documents, t.labels))
+
+
+@query
+def op5_language_id(t: Tables) -> DataFrame:
+    """Language of every document by cross-parsing."""
+    return language.identify(t.documents, language.fit(t.documents))
+
+
+@query
+def op6_quality_rules(t: Tables) -> DataFrame:
+    """Base counts and likelihood-ratio verdict of every document; trusted are those of quality 1."""
+    trusted = t.labels.where("quality = 1").select("doc_id")
+    ratios = quality.log_ratios(quality.bucket_counts(t.documents, trusted))
+    return quality.judge(t.documents, ratios)
+
+
+@query
+def op7_warc_archive(t: Tables) -> DataFrame:
+    """The pages written to an archive and read back from it."""
+    archive = warc.write_archive(t.pages, work_dir(t.spark, "warc"))
+    return warc.parse_records(warc.read_archive(t.spark, archive)).drop("target_uri")
+
+
+ORACLES["op7_warc_archive"] = warc.WARC_SQL.strip()
+
+
+@query
+def op8_source_mixing(t: Tables) -> DataFrame:
+    """Words that a mix of the sources by weight 3, 1, 2 takes of every document."""
+    return mixing.mix(t.documents)
+
+
+ORACLES["op8_source_mixing"] = mixing.MIX_SQL.strip()
+
+
+@query
+def op9_byte_bpe(t: Tables) -> DataFrame:
+    """Every document encoded and decoded again."""
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    tokenizer = byte_bpe.Tokenizer(t.spark, path, pattern)
+    return byte_bpe.digests(tokenizer.encode(t.documents), tokenizer)
+
+
 @query
 def op10_minhash_near_dedup(t: Tables) -> DataFrame:
     """Groups of documents whose sets of two-word shingles share 80 % of their union."""
