@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logloom.catalog.base import Tables
-from logloom.llm import byte_bpe, language, mixing, near_dedup, quality, toxicity, warc
+from logloom.llm import byte_bpe, curve_search, language, mixing, near_dedup, quality, toxicity, warc
 from logloom.session import configure, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +27,12 @@ def query(function: Callable[[Tables], DataFrame]):
     return function
 
 
+@query
+def op2_curve_search(t: Tables) -> DataFrame:
+    """The 10 nearest vectors of every hundredth vector."""
+    return curve_search.search(t.embeddings, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op3_toxicity(t: Tables) -> DataFrame:
     """Toxicity score of every document, learned from the labels that are not held out."""
