@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.catalog.base import Tables
-from logloom.llm import byte_bpe, curve_search, language, mixing, near_dedup, quality, toxicity, warc
+from logloom.llm import byte_bpe, curve_search, language, lm_score, mixing, near_dedup, quality, toxicity, warc
 from logloom.session import configure, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,12 @@ def op3_toxicity(t: Tables) -> DataFrame:
     return toxicity.classify(t.documents, toxicity.fit(t.documents, t.labels))
 
 
+@query
+def op4_lm_score(t: Tables) -> DataFrame:
+    """Stupid-backoff score of every document under the counts of all documents."""
+    return lm_score.score(t.documents)
+
+
 @query
 def op5_language_id(t: Tables) -> DataFrame:
     """Language of every document by cross-parsing."""
