@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.catalog.base import Tables
-from logloom.llm import byte_bpe, curve_search, language, lm_score, mixing, near_dedup, quality, toxicity, warc
+from logloom.llm import byte_bpe, curve_search, language, lm_score, mixing, near_dedup, quality, secret_scan, toxicity, warc
 from logloom.session import configure, work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,15 @@ def query(function: Callable[[Tables], DataFrame]):
     return function
 
 
+@query
+def op1_secret_scan(t: Tables) -> DataFrame:
+    """Every candidate secret of the documents with the forest's verdict; values only as digests."""
+    found = secret_scan.scan(t.documents, language.held_out("doc_id"))
+    return found.select(
+        "doc_id", "place", "run", F.sha2("value", 256).alias("value_sha256"), F.length("value").alias("value_chars"), "probability", "is_secret"
+    )
+
+
 @query
 def op2_curve_search(t: Tables) -> DataFrame:
     """The 10 nearest vectors of every hundredth vector."""
