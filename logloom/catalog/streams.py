@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from logloom.catalog.base import Tables, query
 from logloom.catalog.logs import LOG_SQL, log_lines
+from logloom.session import work_dir
 from logloom.streaming import batches, pageviews, wordcount
 
 
 def stream_of(t: Tables, name: str) -> DataFrame:
-    """A stream of a table's Parquet files."""
+    """A stream of a table's Parquet files: one file of the table's name, or a folder of them."""
     schema = getattr(t, name).schema
-    reader = t.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")
-    return reader.parquet(t.folder)
+    # a stream takes a folder or a pattern, and the pattern fits the table alone
+    return t.spark.readStream.schema(schema).parquet(f"{t.folder}/{name}.parque[t]")
 
 
 WORD_SQL = r"""
@@ -35,7 +36,7 @@ def stream_word_count(t: Tables) -> DataFrame:
 
 def _metric(t: Tables, name: str) -> DataFrame:
     lines = log_lines(stream_of(t, "events"))
-    return pageviews.page_metrics(t.spark, lines)[name]
+    return pageviews.page_metrics(t.spark, lines, names=[name])[name]
 
 
 @query(
@@ -81,3 +82,54 @@ def stream_windowed_views(t: Tables) -> DataFrame:
     return batches.append_available(t.spark, flat)
 
 
+
+
+@query(
+    "stream_windowed_referrals",
+    LOG_SQL
+    + """
+    , bounds AS (SELECT max(date_trunc('second', ts)) - INTERVAL 1 HOUR AS mark FROM pages)
+    SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, referer, uri AS requested_resource, count(*) AS referrals
+    FROM pages, bounds WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= mark GROUP BY 1, 2, 3
+    """,
+)
+def stream_windowed_referrals(t: Tables) -> DataFrame:
+    """Daily referral windows in event time."""
+    pages = pageviews.parsed_pages(log_lines(stream_of(t, "events")))
+    referrals = pageviews.windowed_referrals(pages, "1 day", "1 hour")
+    flat = referrals.select(
+        F.date_format("window.start", "yyyy-MM-dd").alias("day"), "referer", "requested_resource", "referrals"
+    )
+    return batches.append_available(t.spark, flat)
+
+
+@query(
+    "stream_windowed_sessions",
+    LOG_SQL + """SELECT DISTINCT '"' || sid || '"' AS session_id FROM pages""",
+)
+def stream_windowed_sessions(t: Tables) -> DataFrame:
+    """Session ids of a stream that drops repeats while their state lives."""
+    pages = pageviews.parsed_pages(log_lines(stream_of(t, "events")))
+    ids = pageviews.windowed_sessions(pages, "1 hour").select("session_id")
+    return batches.append_available(t.spark, ids).distinct()
+
+
+@query(
+    "stream_text_folder",
+    r"""
+    WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS text FROM documents),
+    cut AS (
+      SELECT CASE WHEN length(text) = 0 THEN ['']
+                  WHEN length(rtrim(text, ' ')) = 0 THEN []
+                  ELSE string_split(rtrim(text, ' '), ' ') END AS l FROM lines
+    )
+    SELECT word, count(*) AS n FROM (SELECT unnest(l) AS word FROM cut) GROUP BY word
+    """,
+)
+def stream_text_folder(t: Tables) -> DataFrame:
+    """Words of text files as they arrive, one file per batch."""
+    folder = work_dir(t.spark, "texts")
+    lines = t.documents.where("text is not null").select(F.explode(F.split("text", "\n", -1)).alias("value"))
+    lines.write.option("lineSep", "\n").text(folder)
+    stream = t.spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", 1).text(folder)
+    return batches.sum_batches(wordcount.batch_word_counts(t.spark, stream), ["word"], "count").withColumnRenamed("count", "n")

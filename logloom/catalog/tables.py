@@ -443,14 +443,14 @@ def largest_box(t: Tables) -> DataFrame:
     side = F.col("l_quantity").cast("int")
     boxes = t.lineitem.select(
         F.col("l_orderkey").alias("frame"),
-        # a total order for lines that share a number
-        (F.col("l_linenumber") * 10**15 + F.col("l_partkey") * 10**7 + F.col("l_suppkey")).alias("pos"),
+        F.col("l_linenumber").alias("pos"),
         F.col("l_partkey").alias("x"),
         F.col("l_suppkey").alias("y"),
         side.alias("w"),
         (side % 9 + 1).alias("h"),
     )
-    return aggregates.largest_box(boxes, "frame", "pos", t.orders.select(F.col("o_orderkey").alias("frame")))
+    # part and supplier settle the order of lines that share a number
+    return aggregates.largest_box(boxes, "frame", ["pos", "x", "y"], t.orders.select(F.col("o_orderkey").alias("frame")))
 
 
 # --- rankings ---

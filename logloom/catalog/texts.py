@@ -185,7 +185,7 @@ def expand_contractions(t: Tables) -> DataFrame:
     )
     words = elements(docs, [], "tokens", "token").where(F.col("token").rlike("^th[a-z]{6,}$"))
     table = words.distinct().select(
-        "token", F.concat(F.lit("th "), F.substring("token", 3, 1000)).alias("value")
+        "token", F.concat(F.lit("th "), F.expr("substring(token, 3)")).alias("value")
     )
     out = text.expand_contractions(docs, "doc_id", "tokens", table)
     return out.select("doc_id", digest(tx.join_tokens(F.col("tokens"))).alias("tokens"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 # --- fixed values: the e-mail grammar, with "@" or " at ", "." or " dot " ---
 EMAIL_PATTERN = (
-    r"[a-z0-9!#$%&'*+/=?^_`{|}~-]+(?:\.[a-z0-9!#$%&'*+/=?^_`{|}~-]+)*"
+    r"(?i)[a-z0-9!#$%&'*+/=?^_`{|}~-]+(?:\.[a-z0-9!#$%&'*+/=?^_`{|}~-]+)*"
     r"(?:@|\sat\s)"
     r"(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?(?:\.|\sdot\s))+"
     r"[a-z0-9](?:[a-z0-9-]*[a-z0-9])?"
@@ -107,11 +107,13 @@ def drop_urls(tokens: Column) -> Column:
 
 
 def remove_emails(text: Column) -> Column:
-    """Replace every e-mail address, also the spelled-out form, by a space.
+    """Replace every e-mail address in any case, also the spelled-out form, by a space.
+
+    The spelled-out form takes prose such as ``me at noon dot dot`` with it.
 
     The cheap look-ups keep the expensive pattern off texts that cannot match.
     """
-    candidate = text.contains("@") | text.rlike(r"\sat\s")
+    candidate = text.contains("@") | text.rlike(r"(?i)\sat\s")
     return F.when(candidate, F.regexp_replace(text, EMAIL_PATTERN, " ")).otherwise(text)
 
 

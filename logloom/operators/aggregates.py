@@ -41,14 +41,17 @@ def mismatch_percent(df: DataFrame, predicted: str, label: str) -> DataFrame:
     return df.agg((F.avg(differs.cast("int")) * 100).alias("mismatch_pct"))
 
 
-def largest_box(boxes: DataFrame, frame: str, order: str, frames: DataFrame | None = None):
+def largest_box(
+    boxes: DataFrame, frame: str, order: str | Sequence[str], frames: DataFrame | None = None
+):
     """The box with the largest area per frame; the earliest one wins ties.
 
-    ``frames`` lists all frames; those without a box get -1 in every field.
+    ``order`` is one numeric column or several, the most important first. ``frames`` lists all frames; those without a box get -1 in every field.
     """
     sides = ["x", "y", "w", "h"]
+    earliest = [-F.col(c) for c in ([order] if isinstance(order, str) else order)]
     best = boxes.groupBy(frame).agg(
-        F.max_by(F.struct(*sides), F.struct(F.col("w") * F.col("h"), -F.col(order))).alias("_b")
+        F.max_by(F.struct(*sides), F.struct(F.col("w") * F.col("h"), *earliest)).alias("_b")
     )
     best = best.select(frame, *[F.col(f"_b.{s}").alias(s) for s in sides])
     if frames is None:
@@ -96,7 +99,8 @@ def ranked_by_score(
     Scores are cut into bands that are ranked in parallel; ``bands`` is the
     number of bands per unit of score.
     """
-    band = -F.floor(F.col(score) * bands)
+    # NaN sorts above every number, so it has a band before the first
+    band = F.when(F.isnan(score), F.lit(-(2**63)).cast("long")).otherwise(-F.floor(F.col(score) * bands))
     order = [F.desc_nulls_first(score), *[F.asc_nulls_first(t) for t in tie]]
     return number_rows(df, [], [band], order, name)
 

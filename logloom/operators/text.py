@@ -53,9 +53,10 @@ def replace_tokens(
 
     ``key`` must identify a row. Spark broadcasts the dictionary when its
     measured size allows and splits hot tokens of a shuffled join otherwise.
-    With ``words`` a value of several words becomes several tokens.
+    With ``words`` a value of several words becomes several tokens. Of several
+    values for a token the smallest counts.
     """
-    known = dictionary.select(F.col("token").alias("_t"), F.col("value").alias("_v"))
+    known = dictionary.groupBy(F.col("token").alias("_t")).agg(F.min("value").alias("_v"))
     rows = df.select(key, F.posexplode_outer(tokens).alias("_p", "_t"))
     found = rows.join(known, "_t", "left").withColumn("_w", F.coalesce("_v", "_t"))
     placed = F.when(F.col("_w").isNotNull(), F.struct("_p", "_w"))

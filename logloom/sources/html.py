@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from logloom.plans.rows import elements, numbered_elements
 
-LINK_PATTERN = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+#: An anchor with its address in double, single or no quotes (groups 1 to 3) and its label.
+LINK_PATTERN = r"""(?is)<a\s[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
+#: Character references that occur in addresses; the ampersand last.
+REFERENCES = {"&quot;": '"', "&#39;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
 
 
 def strip_tags(html: Column) -> Column:
@@ -26,12 +29,14 @@ def extract_links(
     anchors = F.regexp_extract_all(F.col(html), F.lit(LINK_PATTERN), F.lit(0))
     keep = [c for c in pages.columns if c != html]
     rows = numbered_elements(pages, keep, anchors, "link_no", "_anchor")
-    href = F.regexp_extract("_anchor", LINK_PATTERN, 1)
+    href = F.concat(*[F.regexp_extract("_anchor", LINK_PATTERN, i) for i in (1, 2, 3)])
+    for reference, character in REFERENCES.items():
+        href = F.replace(href, F.lit(reference), F.lit(character))
     return rows.select(
         *keep,
         "link_no",
         (absolute_url(prefix, href) if prefix is not None else href).alias("href"),
-        strip_tags(F.regexp_extract("_anchor", LINK_PATTERN, 2)).alias("label"),
+        strip_tags(F.regexp_extract("_anchor", LINK_PATTERN, 4)).alias("label"),
     )
 
 

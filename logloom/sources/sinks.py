@@ -16,8 +16,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def write_text(df: DataFrame, path: str, sep: str = ",") -> None:
-    """Aggregates as delimited text files in a folder."""
-    df.write.mode("overwrite").csv(path, sep=sep)
+    """Aggregates as delimited text files in a folder; blanks in cells are kept."""
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").csv(path, sep=sep, **blanks)
 
 
 def write_tsv(df: DataFrame, path: str, compress: bool = False) -> None:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from logloom.session import work_dir
 
@@ -53,11 +54,19 @@ def run_available(
 ) -> dict[str, DataFrame]:
     """Process what is there now and return the stored per-batch tables."""
     target = folder or work_dir(spark, "stream")
+    nothing = spark.createDataFrame([], stream.schema)
+    schemas = {name: metric(prepare(nothing) if prepare else nothing).schema for name, metric in metrics.items()}
+    for name, schema in schemas.items():
+        # a part without rows: the table exists even if no batch ever comes
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{target}/{name}/batch_id=-1")
     query = store_batches(stream, metrics, target, prepare, availableNow=True)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return {name: spark.read.parquet(f"{target}/{name}") for name in metrics}
+    return {
+        name: spark.read.schema(StructType([*schema, StructField("batch_id", IntegerType())])).parquet(f"{target}/{name}")
+        for name, schema in schemas.items()
+    }
 
 
 def sum_batches(per_batch: DataFrame, keys: list[str], count: str) -> DataFrame:

@@ -1,7 +1,9 @@
+import os
 from collections import Counter
 
 from pyspark.sql import functions as F
 
+from logloom.catalog import QUERIES
 from logloom.operators import weblog
 from logloom.operators.text import word_count
 from logloom.sources.readers import stream_lines
@@ -49,7 +51,9 @@ def log_folder(tmp_path, n=60):
         lines.append(line(f"10.0.0.{i % 4}", time, f"GET {page} HTTP/1.1", "A", f'"sid={i % 5}"'))
     lines[7] = "garbage"
     for i in range(3):
-        (tmp_path / f"{i}.log").write_text("\n".join(lines[i::3]) + "\n")
+        file = tmp_path / f"{i}.log"
+        file.write_text("\n".join(lines[i * n // 3 : (i + 1) * n // 3]) + "\n")
+        os.utime(file, (1_700_000_000 + i, 1_700_000_000 + i))  # the order of the batches
     return lines
 
 
@@ -111,3 +115,22 @@ def test_printed_batches(spark, tmp_path):
     query = batches.print_batches(stream_lines(spark, str(tmp_path)), availableNow=True)
     query.awaitTermination()
     assert query.exception() is None
+
+
+def test_table_streams_read_file_and_folder(spark, tmp_path):
+    """The registered streams read a table that is one file and one that is several."""
+    source = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    for name, parts in (("file", 1), ("folder", 3)):
+        source.repartition(parts).write.parquet(str(tmp_path / name / "events.parquet"))
+    want = {tuple(r) for r in QUERIES["page_views"](spark, "/root/testdata/sf0.001").collect()}
+    for folder in ("/root/testdata/sf0.001", str(tmp_path / "file"), str(tmp_path / "folder")):
+        got = QUERIES["stream_page_views"](spark, folder)
+        assert {tuple(r) for r in got.collect()} == want
+
+
+def test_no_input_gives_empty_tables(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = stream_lines(spark, str(tmp_path / "in"))
+    tables = pageviews.page_metrics(spark, stream, str(tmp_path / "out"), names=["page_views"])
+    assert list(tables) == ["page_views"] and tables["page_views"].count() == 0
+    assert tables["page_views"].columns == ["requested_resource", "views", "batch_id"]
