@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from logloom.llm import byte_bpe, language, mixing, near_dedup, secret_scan
-from logloom.session import configure, work_dir
+from logloom.llm.queries import whole_texts
+from logloom.session import work_dir
 
 #: Stages without an SQL form: language models, signatures, a forest and an encoder.
 ORACLE_SQL = None
@@ -14,6 +15,7 @@ ORACLE_SQL = None
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which no language can be told: null texts and texts without a letter."""
+    whole_texts(spark)
     return language.drop_undetermined(docs, language.fit(docs))
 
 
@@ -22,6 +24,7 @@ def near_dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents without an id are linked with nothing and stay.
     """
+    whole_texts(spark)
     groups = near_dedup.near_duplicates(docs, how=near_dedup.NearDedup(percent=80, shingle=5))
     copies = groups.where("not kept").select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
@@ -29,16 +32,19 @@ def near_dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mask the secrets that the forest confirms; every document stays."""
+    whole_texts(spark)
     return secret_scan.redact(docs, secret_scan.scan(docs, language.held_out("doc_id")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; the one at a source's cut stays whole."""
+    whole_texts(spark)
     return mixing.mixed_copies(docs, mixing.mix(docs))
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded bytes of every row."""
+    whole_texts(spark)
     tokenizer = byte_bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return byte_bpe.digests(tokenizer.encode(docs), tokenizer)
 
@@ -54,7 +60,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each result written to the shared folder and read again."""
-    docs = configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = whole_texts(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     folder = work_dir(spark, "pipeline")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"

@@ -12,15 +12,24 @@ from logloom.catalog.base import Tables
 from logloom.llm import byte_bpe, curve_search, language, lm_score, mixing, near_dedup, quality, secret_scan, toxicity, warc
 from logloom.session import configure, work_dir
 
+#: Rows in one Arrow batch: texts are whole, so a batch of the default size may outgrow a worker.
+ROWS_PER_BATCH = 1000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def whole_texts(spark: SparkSession) -> SparkSession:
+    """The session with the settings of the library and batches of few, long rows."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    return spark
+
+
 def query(function: Callable[[Tables], DataFrame]):
     """Register a function of the tables under its own name."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return function(Tables(configure(spark), folder))
+        return function(Tables(whole_texts(spark), folder))
 
     run.__name__, run.__doc__ = function.__name__, function.__doc__
     QUERIES[function.__name__] = run
