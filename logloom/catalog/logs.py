@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from logloom.catalog.base import Tables, query
 from logloom.functions.weblog import request_uri
 from logloom.operators import aggregates, timeseries, weblog
-from logloom.plans.segments import number_rows
+from logloom.plans.segments import number_rows, refine
 
 
 def cents(value: str) -> Column:
@@ -201,9 +201,21 @@ def session_ids(t: Tables) -> DataFrame:
     "page_sequences",
     LOG_SQL
     + """
-    SELECT visitor, 0 AS part, count(*) AS n_pages,
-           string_agg(uri, '>' ORDER BY at_s, seq) AS pages
-    FROM visits GROUP BY visitor
+    , crowded AS (
+      SELECT *, date_trunc('hour', at_s) AS hour,
+        CASE WHEN count(*) OVER (PARTITION BY visitor, date_trunc('hour', at_s)) > 100000
+          THEN minute(at_s) * 60 + second(at_s) ELSE 0 END AS fine
+      FROM visits
+    ), sizes AS (
+      SELECT visitor, hour, fine, count(*) AS n FROM crowded GROUP BY ALL
+    ), parts AS (
+      SELECT visitor, hour, fine,
+        CAST(floor((sum(n) OVER (PARTITION BY visitor ORDER BY hour, fine) - 1) / 100000) AS INT) AS part
+      FROM sizes
+    )
+    SELECT v.visitor, part, count(*) AS n_pages, string_agg(uri, '>' ORDER BY at_s, seq) AS pages
+    FROM crowded v JOIN parts p ON v.visitor = p.visitor AND v.hour = p.hour AND v.fine = p.fine
+    GROUP BY v.visitor, part
     """,
 )
 def page_sequences(t: Tables) -> DataFrame:
@@ -262,5 +274,7 @@ def previous_page(t: Tables) -> DataFrame:
 )
 def events_in_time_order(t: Tables) -> DataFrame:
     events = t.events.select("ts", "event_id")
-    numbered = number_rows(events, [], [F.date_trunc("hour", "ts")], [F.asc("ts"), F.asc("event_id")])
+    hour, second = F.date_trunc("hour", "ts"), F.minute("ts") * 60 + F.second("ts")
+    cut = refine(events, [], [hour], second, "_second")
+    numbered = number_rows(cut, [], [hour, F.col("_second")], [F.asc("ts"), F.asc("event_id")]).drop("_second")
     return weblog.in_time_order(numbered, "ts", "event_id").select("event_id", "pos")

@@ -17,7 +17,7 @@ from logloom.functions.weblog import (
     session_value,
     visitor_key,
 )
-from logloom.plans.segments import assign_parts, previous_value
+from logloom.plans.segments import CROWDED, assign_parts, previous_value, refine
 
 GROUP_MARK = "\x01"
 #: A visitor's pages are returned in one row up to this many.
@@ -98,6 +98,10 @@ def _time_bucket(ts: str, tie: str):
     return [hour, block]
 
 
+def _second_of_hour(ts: str):
+    return F.minute(ts) * 60 + F.second(ts)
+
+
 def with_visitor(log: DataFrame, parity: bool = False) -> DataFrame:
     key = visitor_key(F.col("ip"), F.col("user_agent"), parity)
     return log.withColumn("visitor", key)
@@ -110,15 +114,18 @@ def page_sequences(
     tie: str = "seq",
     page: str = "requested_resource",
     max_pages: int = MAX_PAGES,
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """(visitor, part, pages): the pages of each visitor in time order.
 
     Nearly every visitor is one row, part 0. A visitor with more than
-    ``max_pages`` requests is continued in parts 1, 2, …, cut at hours, so that
-    no task holds an unbounded list; all parts together are the whole sequence.
+    ``max_pages`` requests is continued in parts 1, 2, …, cut at hours, and at
+    seconds in an hour of more than ``crowded`` requests, so that no task holds an
+    unbounded list; all parts together are the whole sequence.
     """
     slim = events.select(visitor, ts, tie, page)
-    parts = assign_parts(slim, [visitor], _time_bucket(ts, tie), max_pages)
+    slim = refine(slim, [visitor], _time_bucket(ts, tie), _second_of_hour(ts), "_second", crowded)
+    parts = assign_parts(slim, [visitor], [*_time_bucket(ts, tie), F.col("_second")], max_pages)
     step = F.struct(F.col(ts).alias("t"), F.col(tie).alias("s"), F.col(page).alias("p"))
     return (
         parts.groupBy(visitor, "part")
@@ -133,9 +140,10 @@ def with_previous_page(
     ts: str = "ts",
     tie: str = "seq",
     page: str = "requested_resource",
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """Add ``previous_page`` of the same visitor; ``-`` for the first request."""
-    linked = previous_value(
-        events, [visitor], _time_bucket(ts, tie), [ts, tie], page, "previous_page"
-    )
+    cut = refine(events, [visitor], _time_bucket(ts, tie), _second_of_hour(ts), "_second", crowded)
+    bucket = [*_time_bucket(ts, tie), F.col("_second")]
+    linked = previous_value(cut, [visitor], bucket, [ts, tie], page, "previous_page").drop("_second")
     return linked.withColumn("previous_page", F.coalesce("previous_page", F.lit("-")))

@@ -37,6 +37,25 @@ def _offsets(tagged: DataFrame, n_keys: int, n_buckets: int) -> DataFrame:
     )
 
 
+#: Rows of one (group, bucket) from which it is cut further.
+CROWDED = 100_000
+
+
+def refine(
+    df: DataFrame, keys: Sequence[str], bucket: Sequence[Column], fine: Column, name: str, limit: int = CROWDED
+) -> DataFrame:
+    """Add ``name``: ``fine`` in buckets with more than ``limit`` rows, 0 in all others.
+
+    ``fine`` must follow the order inside a bucket; ``[*bucket, name]`` then is a
+    bucketing in which no crowded bucket is left whole. The crowded buckets are
+    at most one per ``limit`` rows.
+    """
+    tagged = _tag(df, keys, bucket)
+    crowded = tagged.groupBy("_segment").count().where(F.col("count") > limit).select("_segment", F.lit(True).alias("_full"))
+    joined = tagged.join(crowded, "_segment", "left")
+    return joined.withColumn(name, F.when(F.col("_full"), fine).otherwise(F.lit(0))).drop("_segment", "_full")
+
+
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],

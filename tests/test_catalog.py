@@ -33,5 +33,6 @@ def test_entry_points(spark):
 
     df = entry_points.entry(spark)
     assert df.columns == ["date", "hour", "id", "total"] and df.count() > 0
-    assert entry_points.queries().keys() == QUERIES.keys()
-    assert entry_points.oracle_sql() == ORACLES
+    # the training-data package adds its own where it is present
+    assert QUERIES.keys() <= entry_points.queries().keys()
+    assert ORACLES.items() <= entry_points.oracle_sql().items()

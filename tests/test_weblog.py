@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from logloom.operators import timeseries, weblog
 from logloom.operators.aggregates import error_counts
+from logloom.plans.segments import refine
 from logloom.sources import readers
 
 AGENTS = ["Mobile (A; B)", "Windows (C)"]
@@ -150,3 +151,22 @@ def test_hourly_totals_from_csv(spark, tmp_path):
         ("", -1, "431", 8),
     }
     assert tuple(timeseries.rejects(df, "Reading").first()) == (6, 1)
+
+
+def test_one_crowded_hour_is_cut_at_seconds(spark):
+    """A visitor with every request in one hour is handled in many segments, with the same result."""
+    rows = spark.range(600).select(
+        F.lit("bot").alias("visitor"),
+        F.timestamp_seconds(1_391_731_200 + (F.col("id") * 7) % 300).alias("ts"),
+        F.col("id").alias("seq"),
+        F.concat(F.lit("/"), F.col("id") % 11).alias("requested_resource"),
+    )
+    want = [r.requested_resource for r in rows.orderBy("ts", "seq").collect()]
+    parts = weblog.page_sequences(rows, max_pages=50, crowded=100).orderBy("part").collect()
+    assert len(parts) > 8 and [p for r in parts for p in r.pages] == want
+    linked = weblog.with_previous_page(rows, crowded=100)
+    plain = weblog.with_previous_page(rows)
+    assert linked.columns == plain.columns
+    assert sorted(map(tuple, linked.collect())) == sorted(map(tuple, plain.collect()))
+    cut = refine(rows, ["visitor"], [F.date_trunc("hour", "ts")], F.minute("ts") * 60 + F.second("ts"), "second", 100)
+    assert cut.groupBy("second").count().agg(F.max("count")).first()[0] == 2
