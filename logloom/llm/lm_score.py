@@ -28,7 +28,7 @@ from logloom.session import cut_lineage
 HOT_WORDS, HOT_PAIRS = 1 << 15, 1 << 12
 BACKOFF = 0.4
 #: Words handled at once in a task; rows in a group, about.
-BUFFER, GROUP = 1 << 19, 2_000_000
+BUFFER, GROUP = 1 << 19, 4_000_000
 #: A word is its 39-bit hash with this bit, a frequent one its number in the list.
 COLD = np.uint64(1 << 39)
 NO_ID = np.iinfo(np.int64).min
@@ -244,7 +244,13 @@ def _join_counts(found: Frequent, min_count: int, blocks: pd.Series) -> pd.DataF
     docs, owner = np.unique(doc, return_inverse=True)
     sums = np.bincount(owner, gain)
     ask = np.flatnonzero(~seen & (v >= COLD))
-    return _rows(doc[ask], v[ask], np.ones(len(ask)), docs, sums, np.zeros(len(docs), np.int64))
+    # a document's sum rides on its first open word, or on a row of its own
+    asking, at = np.unique(doc[ask], return_index=True)
+    carried = np.isin(docs, asking, assume_unique=True)
+    rows = _rows(doc[ask], v[ask], np.ones(len(ask)), docs[~carried], sums[~carried], np.zeros((~carried).sum(), np.int64))
+    parts = rows["part"].to_numpy().copy()
+    parts[at] = sums[carried]
+    return rows.assign(part=parts)
 
 
 def score(docs: DataFrame, min_count: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
