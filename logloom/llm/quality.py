@@ -78,6 +78,8 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
         yield pd.DataFrame({"bucket": used, "raw": totals[0][used], "target": totals[1][used]})
 
     good = trusted.select(F.col(id_col).alias("id")).where("id is not null").distinct().withColumn("good", F.lit(True))
+    # hashed by id at every size: the list of trusted ids grows with the corpus
+    good = good.hint("shuffle_hash")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
     marked = rows.where("id is not null").join(good, "id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
     marked = marked.union(rows.where("id is null").select("text", F.lit(False)))
@@ -96,7 +98,7 @@ def log_ratios(counts: DataFrame) -> np.ndarray:
     return np.log(target / raw)
 
 
-def judge(docs: DataFrame, ratios: np.ndarray, threshold: float = -0.25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def judge(docs: DataFrame, ratios: np.ndarray, threshold: float = -0.15, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts, score and verdict of every row, from its whole text.
 
     Columns: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
