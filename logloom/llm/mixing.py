@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from logloom.session import cut_lineage
 
 #: Documents of one source in one range of the hash, about.
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 2_000
 
 
 def word_count(text: Column) -> Column:
