@@ -28,7 +28,7 @@ from logloom.session import cut_lineage
 HOT_WORDS, HOT_PAIRS = 1 << 15, 1 << 12
 BACKOFF = 0.4
 #: Words handled at once in a task; rows in a group, about.
-BUFFER, GROUP = 1 << 19, 4_000_000
+BUFFER, GROUP = 1 << 19, 3_000_000
 #: A word is its 39-bit hash with this bit, a frequent one its number in the list.
 COLD = np.uint64(1 << 39)
 NO_ID = np.iinfo(np.int64).min
