@@ -24,7 +24,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
     least = down.groupBy("u").agg(F.min("v").alias("m"))
     kept = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return kept.union(least.select("u", F.col("m").alias("v"))).distinct()
+    return kept.union(least.select("u", F.col("m").alias("v")))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -38,6 +38,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = cut_lineage(edges.select("u", "v").where("u <> v").distinct())
     before = None
     while True:
+        # repeated edges fall together once every node hangs on its smallest one
         now = cut_lineage(_small_star(_large_star(now)))
         mark = now.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(mark) == before:

@@ -42,7 +42,7 @@ class NearDedup:
     chunks: int = 12
     width: int = 5
     errors: int = 1
-    hub_rounds: int = 3
+    hub_rounds: int = 1
     tile_from: int = 64
     tile: int = 256
 
@@ -125,37 +125,32 @@ def _confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, how:
     return (
         with_both.select("a", "b", "of_a", "of_b", shared.alias("shared"))
         .select("a", "b", (F.lit(100) * F.col("shared") >= how.percent * union).alias("linked"))
-        .groupBy("a", "b")
-        .agg(F.max("linked").alias("linked"))
     )
 
 
-def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Component labels of the classes after ``links(a, b)`` have been added."""
-    of = labels.select(F.col("rep").alias("a"), F.col("component").alias("u"))
-    to = labels.select(F.col("rep").alias("b"), F.col("component").alias("v"))
-    merged = connected_components(links.join(of, "a").join(to, "b").select("u", "v"))
-    merged = merged.select(F.col("node").alias("component"), F.col("component").alias("_to"))
-    return cut_lineage(
-        labels.join(merged, "component", "left").select("rep", F.coalesce("_to", "component").alias("component"))
-    )
+def _hub_labels(buckets: DataFrame, links: DataFrame) -> DataFrame:
+    """``(rep, component)`` after two steps along the hub links.
 
+    Classes of one label are connected; connected classes may still differ in it,
+    which costs a test but loses nothing.
+    """
+    tied = links.groupBy("a").agg(F.min("b").alias("b"))
+    labels = buckets.select("rep").distinct().join(tied.withColumnRenamed("a", "rep"), "rep", "left")
+    labels = labels.select("rep", F.coalesce("b", "rep").alias("component"))
+    onward = tied.select(F.col("a").alias("component"), F.col("b").alias("_to"))
+    labels = labels.join(onward, "component", "left")
+    return cut_lineage(labels.select("rep", F.coalesce("_to", "component").alias("component")))
 
-def _hub_pairs(buckets: DataFrame, labels: DataFrame, done: DataFrame | None, turn: int) -> DataFrame:
-    """At most one untested pair per class: with the hub of the keys it shares most."""
-    tagged = buckets.join(labels, "rep")
+
+def _hub_pairs(buckets: DataFrame, hubs_of: DataFrame | None, turn: int) -> DataFrame:
+    """At most one pair per class: with the hub of the keys it shares most.
+
+    In later turns hubs are drawn anew and classes linked before are left out.
+    """
     order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-    hubs = tagged.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "component")).alias("hub"))
-    met = (
-        tagged.join(hubs, "key")
-        .where("component <> hub.component")
-        .select(F.col("rep").alias("a"), F.col("hub.rep").alias("b"))
-        .groupBy("a", "b")
-        .count()
-    )
-    if done is not None:
-        flipped = done.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        met = met.join(done.union(flipped), ["a", "b"], "left_anti")
+    open_rows = buckets if hubs_of is None else buckets.join(hubs_of.select(F.col("a").alias("rep")), "rep", "left_anti")
+    hubs = buckets.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep")).alias("hub"))
+    met = open_rows.join(hubs, "key").where("rep <> hub.rep").groupBy(F.col("rep").alias("a"), F.col("hub.rep").alias("b")).count()
     return met.groupBy("a").agg(F.max_by("b", F.struct("count", -F.col("b"))).alias("b"))
 
 
@@ -291,23 +286,23 @@ def near_duplicates(
     shared = entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
     buckets = cut_lineage(entries.join(shared.select("key"), "key"))
 
-    labels = cut_lineage(
-        buckets.select("rep").distinct().select("rep", F.col("rep").alias("component"))
-    )
-    done = None
+    links = done = None
     for turn in range(how.hub_rounds):
-        pairs = _hub_pairs(buckets, labels, done, turn)
-        tested = cut_lineage(_confirm(cut_lineage(pairs), docs, id_col, text_col, how))
-        labels = _merge(labels, tested.where("linked"))
-        tested = tested.select("a", "b")
-        done = tested if done is None else done.union(tested)
+        pairs = cut_lineage(_hub_pairs(buckets, links, turn))
+        tested = cut_lineage(_confirm(pairs, docs, id_col, text_col, how))
+        linked, tested = tested.where("linked").select("a", "b"), tested.select("a", "b")
+        links, done = (linked, tested) if done is None else (links.union(linked), done.union(tested))
+    labels = _hub_labels(buckets, links)
+
     rows = _open_rows(buckets, labels)
     crowds = _crowds(rows, how)
     in_crowds = _crowd_links(crowds, labels, docs, id_col, text_col, how)
     rest = _rest_pairs(rows, crowds, signatures, how)
     rest = cut_lineage(rest.join(done.union(done.select("b", "a")), ["a", "b"], "left_anti"))
-    tested = _confirm(rest, docs, id_col, text_col, how).where("linked").select("a", "b")
-    labels = _merge(labels, tested.union(in_crowds))
+    rest_links = _confirm(rest, docs, id_col, text_col, how).where("linked").select("a", "b")
+    links = links.union(rest_links).union(in_crowds)
+    labels = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    labels = labels.withColumnRenamed("node", "rep")
 
     found = classes.join(labels, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     narrow = signed.select("id", "n_shingles", "digest")
