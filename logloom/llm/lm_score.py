@@ -1,20 +1,23 @@
 """Stupid-backoff scores of documents, computed as joins with n-gram count tables.
 
-Every pair of neighbouring words is a row of the exploded corpus. Rows are dealt by
-a hash, so that all rows of one pair, and all pairs after one word, meet in one
-group: there the pair and context counts are sums and the rows are joined to them.
-A pair below the minimal count backs off to the count of its second word, a join
-with the word table. Contributions are summed per document.
-
-Frequent words and pairs would make groups of any size. Words above ``1 / HOT_WORDS``
-and pairs above ``1 / HOT_PAIRS`` of the corpus are fewer than these numbers
-whatever its size; their exact counts are broadcast, rows of frequent pairs never
-move and rows of other pairs after a frequent word are dealt by the pair.
+Every run of ``order`` neighbouring words is a row of the exploded corpus. Rows are
+dealt by a hash, so that all rows of one n-gram, and all n-grams after one context,
+meet in one group: there the n-gram and context counts are sums and the rows are
+joined to them. Rows of n-grams below the minimal count go on to the next shorter
+order without their first word and are dealt again; of the others only the counts go
+on, one row per n-gram and group. A pair below the minimal count backs off to the
+count of its second word, a join with the word table. Contributions are summed per
+document.
+
+Frequent words and n-grams would make groups of any size. Words above ``1 / HOT_WORDS``
+and n-grams of one order above ``1 / HOT_PAIRS`` of the corpus are fewer than these
+numbers whatever its size; their exact counts are broadcast, rows of frequent n-grams
+never move and rows of other n-grams after a frequent context are dealt by the n-gram.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -62,8 +65,37 @@ def _first_words(lengths: np.ndarray) -> np.ndarray:
     return first
 
 
-def _pair_keys(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    return mixed(mixed(u) + v)
+def _places(lengths: np.ndarray) -> np.ndarray:
+    """Place of every word of a buffer in its document, from 0."""
+    return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def _grams(codes: np.ndarray, last: np.ndarray, order: int) -> np.ndarray:
+    """The n-grams that end at the places ``last`` (order x n-grams)."""
+    return np.stack([codes[last - back] for back in range(order - 1, -1, -1)])
+
+
+def _keys(grams: np.ndarray) -> np.ndarray:
+    keys = mixed(grams[0])
+    for word in grams[1:]:
+        keys = mixed(keys + word)
+    return keys
+
+
+def _numbers(grams: np.ndarray) -> np.ndarray:
+    """One number per n-gram of frequent words, -1 for others."""
+    numbers = np.zeros(grams.shape[1], np.int64)
+    for word in grams:
+        numbers = (numbers << 15) | word.astype(np.int64)
+    return np.where((grams < COLD).all(axis=0), numbers, -1)
+
+
+def _find(listed: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which numbers are in a sorted list, and their places in it."""
+    if not len(listed):
+        return np.zeros(len(numbers), bool), np.zeros(len(numbers), np.int64)
+    place = np.minimum(np.searchsorted(listed, numbers), len(listed) - 1)
+    return listed[place] == numbers, place
 
 
 def word_table(docs: DataFrame) -> DataFrame:
@@ -81,7 +113,7 @@ def word_table(docs: DataFrame) -> DataFrame:
 
 
 class Frequent:
-    """The frequent words and pairs with their counts: fewer than ``HOT_WORDS`` and ``HOT_PAIRS``."""
+    """The frequent words and n-grams with their counts: fewer than ``HOT_WORDS``, and than ``HOT_PAIRS`` of each order."""
 
     def __init__(self, total: int, words: np.ndarray, n: np.ndarray, followed: np.ndarray):
         order = np.argsort(words)
@@ -90,11 +122,12 @@ class Frequent:
             self.log_n, self.log_followed = np.log(n[order]), np.log(followed[order])
         self.maybe = np.zeros(1 << 21, bool)
         self.maybe[words & np.uint64((1 << 21) - 1)] = True
-        self.set_pairs(np.empty(0, np.int64), np.empty(0, np.int64))
+        self.grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
-    def set_pairs(self, pairs: np.ndarray, n: np.ndarray) -> None:
-        order = np.argsort(pairs)
-        self.pairs, self.log_pairs = pairs[order], np.log(n[order])
+    def set_grams(self, order: int, numbers: np.ndarray, n: np.ndarray, followed: np.ndarray) -> None:
+        by = np.argsort(numbers)
+        with np.errstate(divide="ignore"):
+            self.grams[order] = numbers[by], np.log(n[by]), np.log(followed[by])
 
     def replace(self, codes: np.ndarray) -> np.ndarray:
         """Codes with the frequent words replaced by their numbers."""
@@ -106,56 +139,70 @@ class Frequent:
             out[at[hit]] = place[hit]
         return out
 
-    def pair_numbers(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-        """One number per pair of frequent words, -1 for other pairs."""
-        both = (u < COLD) & (v < COLD)
-        return np.where(both, (u.astype(np.int64) << 15) | v.astype(np.int64), -1)
+    def contexts(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which contexts are frequent, and the log of how often those come before a word."""
+        if len(grams) == 1:
+            hit = grams[0] < COLD
+            return hit, self.log_followed[grams[0][hit].astype(np.int64)]
+        listed, _, log_followed = self.grams[len(grams)]
+        hit, place = _find(listed, _numbers(grams))
+        return hit, log_followed[place[hit]]
 
+    def settle(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which n-grams are frequent, and the log scores of those."""
+        listed, log_n, _ = self.grams[len(grams)]
+        hit, place = _find(listed, _numbers(grams))
+        return hit, log_n[place[hit]] - self.contexts(grams[:-1, hit])[1]
 
-def _pairs_of(lengths: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """Places of the second word of every pair inside a document."""
-    return np.flatnonzero(~_first_words(lengths))
 
+def frequent(docs: DataFrame, table: DataFrame, order: int = 2, min_count: int = 2) -> Frequent:
+    """Exact counts of all frequent words, and of the frequent n-grams of every order from 2 on.
 
-def frequent(docs: DataFrame, table: DataFrame) -> Frequent:
-    """Exact counts of all frequent words and pairs.
-
-    A pair above a share of the corpus is above it in some buffer of words, so the
-    pairs frequent in a buffer are candidates and only they are counted again.
+    An n-gram above a share of the corpus is above it in some buffer of words, so
+    those frequent in a buffer are candidates and only they are counted again.
     """
     total = table.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     hot = table.where(F.col("n") * HOT_WORDS > total).toPandas()
     found = Frequent(total, hot["word"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(), hot["followed"].to_numpy())
     shared = docs.sparkSession.sparkContext.broadcast(found)
+    orders = range(2, order + 1)
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: dict[int, int] = {}
-        counted, words = [], 0
+        kept = {n: set() for n in orders}
         for _, lengths, codes in _buffers(batches):
-            codes, second = shared.value.replace(codes), _pairs_of(lengths, codes)
-            numbers = shared.value.pair_numbers(codes[second - 1], codes[second])
-            pairs, n = np.unique(numbers[numbers >= 0], return_counts=True)
-            often = n * HOT_PAIRS > len(codes)
-            for pair, times in zip(pairs[often].tolist(), n[often].tolist()):
-                kept[pair] = kept.get(pair, 0) + times
-        yield pd.DataFrame({"pair": np.array(list(kept), np.int64)})
-
-    candidates = docs.mapInPandas(local, "pair long").distinct()
-    wanted = docs.sparkSession.sparkContext.broadcast(np.sort(candidates.toPandas()["pair"].to_numpy(np.int64)))
+            codes, places, often = shared.value.replace(codes), _places(lengths), None
+            for n in orders:
+                numbers = _numbers(_grams(codes, np.flatnonzero(places >= n - 1), n))
+                # only what follows a frequent context can be frequent
+                numbers = numbers[numbers >= 0] if often is None else numbers[_find(often, numbers >> 15)[0]]
+                found_here, times = np.unique(numbers, return_counts=True)
+                often = found_here[times * HOT_PAIRS > len(codes)]
+                kept[n].update(often.tolist())
+        for n in orders:
+            yield pd.DataFrame({"size": n, "gram": np.array(list(kept[n]), np.int64)})
+
+    candidates = docs.mapInPandas(local, "size int, gram long").distinct().toPandas()
+    lists = {n: np.sort(candidates["gram"][candidates["size"] == n].to_numpy(np.int64)) for n in orders}
+    wanted = docs.sparkSession.sparkContext.broadcast(lists)
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = np.zeros(len(wanted.value), np.int64)
+        totals = {n: np.zeros((2, len(wanted.value[n])), np.int64) for n in orders}
         for _, lengths, codes in _buffers(batches):
-            codes, second = shared.value.replace(codes), _pairs_of(lengths, codes)
-            numbers = shared.value.pair_numbers(codes[second - 1], codes[second])
-            if len(totals):
-                place = np.minimum(np.searchsorted(wanted.value, numbers), len(totals) - 1)
-                totals += np.bincount(place[wanted.value[place] == numbers], minlength=len(totals))
-        yield pd.DataFrame({"pair": wanted.value, "n": totals})
-
-    counts = docs.mapInPandas(exact, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    pairs = counts.where(F.col("n") * HOT_PAIRS > total).toPandas()
-    found.set_pairs(pairs["pair"].to_numpy(np.int64), pairs["n"].to_numpy())
+            codes, places = shared.value.replace(codes), _places(lengths)
+            goes_on = np.append(places[1:] > 0, False)
+            for n in orders:
+                last = np.flatnonzero(places >= n - 1)
+                hit, place = _find(wanted.value[n], _numbers(_grams(codes, last, n)))
+                for role, chosen in enumerate((hit, hit & goes_on[last])):
+                    totals[n][role] += np.bincount(place[chosen], minlength=totals[n].shape[1])
+        for n in orders:
+            yield pd.DataFrame({"size": n, "gram": wanted.value[n], "n": totals[n][0], "followed": totals[n][1]})
+
+    counts = docs.mapInPandas(exact, "size int, gram long, n long, followed long").groupBy("size", "gram").agg(F.sum("n").alias("n"), F.sum("followed").alias("followed"))
+    grams = counts.where((F.col("n") * HOT_PAIRS > total) & (F.col("n") >= min_count)).toPandas()
+    for n in orders:
+        own = grams[grams["size"] == n]
+        found.set_grams(n, *(own[c].to_numpy(np.int64) for c in ("gram", "n", "followed")))
     return found
 
 
@@ -170,44 +217,70 @@ def _unplanes(data: bytes, size: int) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
-def _deal(found: Frequent, groups: int, ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> Iterator[dict]:
-    """What a buffer adds to each document by itself, then its pairs in packed groups."""
+def _pack(ids: np.ndarray, parts: np.ndarray, runs: np.ndarray, grams: np.ndarray, times: np.ndarray) -> bytes:
+    """Rows of documents with what the documents carry, then ``times`` of n-grams that are only counted."""
+    sizes = np.array([len(ids), len(times), *grams.shape], np.int64)
+    data = [sizes, ids.astype(np.int64), parts.astype(np.float64), runs.astype(np.int32), times.astype(np.int32)]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([x.tobytes() for x in data] + [_planes(np.ascontiguousarray(word)) for word in grams]))
+
+
+def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(block)
+    docs, counted, order, size = np.frombuffer(data, np.int64, 4).tolist()
+    at, out = 32, []
+    for kind, n in ((np.int64, docs), (np.float64, docs), (np.int32, docs), (np.int32, counted)):
+        out.append(np.frombuffer(data, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    words = [_unplanes(data[at + 5 * size * i : at + 5 * size * (i + 1)], size) for i in range(order)]
+    return (*out, np.stack(words))
+
+
+def _dealt(found: Frequent, groups: int, ids, doc, grams, parts=None, counted=None, times=None) -> Iterator[dict]:
+    """N-grams in packed groups of their order; ``doc`` numbers into ``ids``, ``parts`` ride on the first row of each document."""
+    order, own = len(grams), grams.shape[1]
+    if counted is not None:
+        grams = np.concatenate([grams, counted], axis=1)
+    group = _keys(grams[:-1])
+    often = found.contexts(grams[:-1])[0]
+    group[often] = _keys(grams[:, often])
+    group = (group >> np.uint64(20)) % np.uint64(groups)
+    by = np.argsort(group.astype(np.uint32), kind="stable")
+    edges = np.searchsorted(group[by], np.arange(groups + 1).astype(np.uint64))
+    left = None if parts is None else parts.copy()
+    for g in np.flatnonzero(np.diff(edges)):
+        at = by[edges[g] : edges[g + 1]]
+        rows, more = at[at < own], at[at >= own]
+        owners, runs = np.unique(doc[rows], return_counts=True)
+        carried = np.zeros(len(owners)) if left is None else left[owners]
+        if left is not None:
+            left[owners] = 0.0
+        rows = rows[np.argsort(doc[rows], kind="stable")]
+        counts = np.empty(0, np.int32) if times is None else times[more - own]
+        yield {"group": (order << 40) | int(g), "block": _pack(ids[owners], carried, runs, grams[:, np.concatenate([rows, more])], counts)}
+
+
+def _deal(found: Frequent, order: int, groups: int, ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> Iterator[dict]:
+    """What a buffer adds to each document by itself, then its n-grams in packed groups."""
     codes = found.replace(codes)
-    doc = np.repeat(np.arange(len(ids)), lengths)
-    first = _first_words(lengths)
+    doc, places = np.repeat(np.arange(len(ids)), lengths), _places(lengths)
     parts = np.zeros(len(ids))
-    start = np.flatnonzero(first)
+    start = np.flatnonzero(places == 0)
     known = codes[start] < COLD
     np.add.at(parts, doc[start[known]], found.log_n[codes[start[known]].astype(np.int64)] - np.log(found.total))
     open_first = start[~known]
-    second = np.flatnonzero(~first)
-    u, v, owner = codes[second - 1], codes[second], doc[second]
-    if len(found.pairs):
-        numbers = found.pair_numbers(u, v)
-        place = np.minimum(np.searchsorted(found.pairs, numbers), len(found.pairs) - 1)
-        hit = found.pairs[place] == numbers
-        gain = found.log_pairs[place[hit]] - found.log_followed[u[hit].astype(np.int64)]
+    moved = []
+    for n in range(2, order + 1):
+        # the first words of a document have shorter contexts
+        last = np.flatnonzero(places >= n - 1 if n == order else places == n - 1)
+        grams, owner = _grams(codes, last, n), doc[last]
+        hit, gain = found.settle(grams)
         parts += np.bincount(owner[hit], gain, minlength=len(ids))
-        u, v, owner = u[~hit], v[~hit], owner[~hit]
-    yield {"group": -1, "block": b"", "doc": ids, "n": lengths, "part": parts, "open_doc": ids[doc[open_first]], "open_word": codes[open_first]}
-    group = (np.where(u < COLD, _pair_keys(u, v), mixed(u)) >> np.uint64(20)) % np.uint64(groups)
-    order = np.argsort(group.astype(np.uint32), kind="stable")
-    edges = np.searchsorted(group[order], np.arange(groups + 1).astype(np.uint64))
-    for g in np.flatnonzero(np.diff(edges)):
-        at = order[edges[g] : edges[g + 1]]
-        owners, runs = np.unique(owner[at], return_counts=True)
-        sizes = np.array([len(owners), len(at)], np.int64).tobytes()
-        data = sizes + ids[owners].tobytes() + runs.astype(np.int32).tobytes() + _planes(u[at]) + _planes(v[at])
-        yield {"group": int(g), "block": zstandard.ZstdCompressor(level=1).compress(data)}
-
-
-def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(block)
-    docs, size = np.frombuffer(data, np.int64, 2)
-    at = 16 + 8 * docs
-    ids, runs = np.frombuffer(data, np.int64, docs, 16), np.frombuffer(data, np.int32, docs, at)
-    at += 4 * docs
-    return np.repeat(ids, runs), _unplanes(data[at : at + 5 * size], size), _unplanes(data[at + 5 * size :], size)
+        moved.append((owner[~hit], grams[:, ~hit]))
+    opened = _rows(ids[doc[open_first]], codes[open_first], np.ones(len(open_first)), ids, parts, lengths)
+    opened.loc[opened.index[: len(open_first)], "part"] = -np.log(found.total) if found.total else 0.0
+    yield _finished(opened)
+    for owner, grams in moved:
+        yield from _dealt(found, groups, ids, owner, grams)
 
 
 _OUT = "doc long, word long, weight double, part double, n long"
@@ -226,71 +299,113 @@ def _rows(docs, words, weights, part_docs, parts, ns) -> pd.DataFrame:
     )
 
 
-def _join_counts(found: Frequent, min_count: int, blocks: pd.Series) -> pd.DataFrame:
-    """Pairs of a group joined to the pair and context counts of the group."""
+_KINDS = [(name, np.float64 if kind == "double" else np.int64) for name, kind in (c.split() for c in _OUT.split(", "))]
+
+
+def _finished(rows: pd.DataFrame) -> dict:
+    """Rows of ``_OUT`` on their way past the joins, in groups below 0."""
+    block = zstandard.ZstdCompressor(level=1).compress(rows.to_records(index=False).astype(_KINDS).tobytes())
+    return {"group": -1 - int(rows["doc"].iloc[0] & 0xFFFFF) if len(rows) else -1, "block": block}
+
+
+def _unfinished(block: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.dtype(_KINDS))
+
+
+def _join_counts(found: Frequent, min_count: int, groups: int, blocks: pd.Series) -> tuple[pd.DataFrame, list[dict]]:
+    """N-grams of a group joined to the n-gram and context counts of the group: finished rows, and blocks of the next shorter order."""
     parts = [_unpack(block) for block in blocks]
-    doc, u, v = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    _, place, n = np.unique(_pair_keys(u, v), return_inverse=True, return_counts=True)
-    count = n[place]
-    contexts, context = np.unique(u, return_inverse=True)
-    cold = contexts >= COLD
-    with np.errstate(divide="ignore"):
-        log_followed = np.log(np.bincount(context))
-    log_followed[~cold] = found.log_followed[contexts[~cold].astype(np.int64)]
+    doc = np.concatenate([np.repeat(p[0], p[2]) for p in parts])
+    carriers, carry = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    times = np.concatenate([p[3] for p in parts]).astype(np.int64)
+    own = [p[4].shape[1] - len(p[3]) for p in parts]
+    grams = np.concatenate([p[4][:, :n] for p, n in zip(parts, own)] + [p[4][:, n:] for p, n in zip(parts, own)], axis=1)
+    del parts
+    size, weight = len(doc), np.concatenate([np.ones(len(doc), np.int64), times])
+    _, place = np.unique(_keys(grams), return_inverse=True)
+    count = np.bincount(place, weight)[place]
+    _, context = np.unique(_keys(grams[:-1]), return_inverse=True)
+    log_followed = np.log(np.bincount(context, weight))[context]
+    often, logs = found.contexts(grams[:-1])
+    log_followed[often] = logs
     seen = count >= min_count
-    gain = np.where(seen, np.log(count) - log_followed[context], np.log(BACKOFF) - np.log(found.total))
-    known = ~seen & (v < COLD)
-    gain[known] += found.log_n[v[known].astype(np.int64)]
+    gain = np.where(seen, np.log(count) - log_followed, np.log(BACKOFF))[:size]
+    ask = np.flatnonzero(~seen[:size])
+    shorter = grams[1:]
+    if len(shorter) == 1:
+        gain[ask] -= np.log(found.total)
+        known = shorter[0, ask] < COLD
+        gain[ask[known]] += found.log_n[shorter[0, ask[known]].astype(np.int64)]
+    else:
+        known, logs = found.settle(shorter[:, ask])
+        gain[ask[known]] += logs
+    ask = ask[~known]
     docs, owner = np.unique(doc, return_inverse=True)
-    sums = np.bincount(owner, gain)
-    ask = np.flatnonzero(~seen & (v >= COLD))
-    # a document's sum rides on its first open word, or on a row of its own
-    asking, at = np.unique(doc[ask], return_index=True)
-    carried = np.isin(docs, asking, assume_unique=True)
-    rows = _rows(doc[ask], v[ask], np.ones(len(ask)), docs[~carried], sums[~carried], np.zeros((~carried).sum(), np.int64))
-    parts = rows["part"].to_numpy().copy()
-    parts[at] = sums[carried]
-    return rows.assign(part=parts)
-
-
-def score(docs: DataFrame, min_count: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    sums = np.bincount(owner, gain, minlength=len(docs))
+    if len(docs):
+        sums += np.bincount(np.searchsorted(docs, carriers), carry, minlength=len(docs))
+    # a document's sum rides on its first open row, or on a row of its own
+    asking, at = np.unique(owner[ask], return_index=True)
+    carried = np.zeros(len(docs), bool)
+    carried[asking] = True
+    none = np.empty(0, np.int64)
+    if len(shorter) == 1:
+        rows = _rows(doc[ask], shorter[0, ask], np.ones(len(ask)), docs[~carried], sums[~carried], np.zeros((~carried).sum(), np.int64))
+        total = rows["part"].to_numpy().copy()
+        total[at] = sums[carried]
+        return rows.assign(part=total), []
+    rows = _rows(none, none.view(np.uint64), np.empty(0), docs[~carried], sums[~carried], np.zeros((~carried).sum(), np.int64))
+    # the counts of the shorter order also hold what was seen here
+    rest = np.concatenate([np.flatnonzero(seen[:size]), np.arange(size, len(weight))])
+    rest = rest[~found.settle(shorter[:, rest])[0]]
+    _, first, place = np.unique(_keys(shorter[:, rest]), return_index=True, return_inverse=True)
+    counted = shorter[:, rest[first]]
+    return rows, list(_dealt(found, groups, docs, owner[ask], shorter[:, ask], sums, counted, np.bincount(place, weight[rest], minlength=len(first)).astype(np.int64)))
+
+
+def score(docs: DataFrame, min_count: int = 2, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
     """``(id, n_words, log_prob, score)``: natural log of the backoff score, and its mean per word.
 
-    ``S(v | u)`` is count(u v) / count(u before a word) for pairs counted at least
-    ``min_count`` times, else 0.4 count(v) / words; a document's first word scores
-    count / words. Words are lower-cased runs of non-blanks; all documents are
-    counted. Null, empty and blank texts have no words, log_prob 0 and a null score.
+    ``S(w | context)``, with the ``order - 1`` words before w (fewer at the start of a
+    document), is count(context w) / count(context before a word) for n-grams counted
+    at least ``min_count`` times, else 0.4 S(w | context without its first word), and
+    count(w) / words without a context. ``order`` is 2, 3 or 4. Documents are scored
+    under counts that hold their own words, so with a ``min_count`` of 1 nothing would
+    back off. Words are lower-cased runs of non-blanks; all documents are counted.
+    Null, empty and blank texts have no words, log_prob 0 and a null score.
     Rows that repeat an id are added up; rows without an id are one row with a null
     id. An empty table gives an empty result; other columns are not read.
     """
+    if not 2 <= order <= 4:  # numbers of frequent n-grams have 15 bits a word
+        raise ValueError(f"order {order} is not 2, 3 or 4")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
     table = cut_lineage(word_table(rows))
-    found = frequent(rows, table)
+    found = frequent(rows, table, order, min_count)
     shared = docs.sparkSession.sparkContext.broadcast(found)
-    groups = max(1, -(-found.total // GROUP))
+    groups = max(1, -(-found.total * order // (2 * GROUP)))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for ids, lengths, codes in _buffers(batches):
-            packed = list(_deal(shared.value, groups, ids, lengths, codes))
-            own = packed[0]
-            opened = _rows(
-                own["open_doc"], own["open_word"], np.ones(len(own["open_doc"])), own["doc"], own["part"], own["n"]
-            )
-            opened.loc[opened.index[: len(own["open_doc"])], "part"] = -np.log(shared.value.total) if shared.value.total else 0.0
-            # what the buffer finishes itself travels in the same rows, in groups below 0
-            yield pd.DataFrame(
-                {"group": [-1 - int(ids[0] & 0xFFFFF) if len(ids) else -1], "block": [opened.to_records(index=False).tobytes()]}
-            )
-            yield pd.DataFrame({"group": [p["group"] for p in packed[1:]], "block": [p["block"] for p in packed[1:]]})
-
-    kinds = [(name, np.float64 if kind == "double" else np.int64) for name, kind in (c.split() for c in _OUT.split(", "))]
+            yield pd.DataFrame(list(_deal(shared.value, order, groups, ids, lengths, codes)))
+
+    def back_off(n: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def step(rows: pd.DataFrame) -> pd.DataFrame:
+            if rows["group"].iloc[0] >> 40 != n:
+                return rows
+            finished, moved = _join_counts(shared.value, min_count, groups, rows["block"])
+            return pd.DataFrame([_finished(finished)] * (len(finished) > 0) + moved, columns=["group", "block"])
+
+        return step
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         if rows["group"].iloc[0] < 0:
-            return pd.DataFrame.from_records(np.concatenate([np.frombuffer(b, np.dtype(kinds)) for b in rows["block"]]))
-        return _join_counts(shared.value, min_count, rows["block"])
+            return pd.DataFrame.from_records(np.concatenate([_unfinished(b) for b in rows["block"]]))
+        return _join_counts(shared.value, min_count, groups, rows["block"])[0]
 
-    joined = rows.mapInPandas(deal, "group long, block binary").groupBy("group").applyInPandas(join, _OUT)
+    moved = rows.mapInPandas(deal, "group long, block binary")
+    for n in range(order, 2, -1):
+        moved = moved.groupBy("group").applyInPandas(back_off(n), "group long, block binary")
+    joined = moved.groupBy("group").applyInPandas(join, _OUT)
     backed = joined.join(table.select("word", "n").withColumnRenamed("n", "_count"), "word", "left")
     total = F.sum("part") + F.coalesce(F.sum(F.col("weight") * F.log("_count")), F.lit(0.0))
     sums = backed.groupBy("doc").agg(F.sum("n").alias("n_words"), total.alias("log_prob"))

@@ -59,8 +59,8 @@ def op3_toxicity(t: Tables) -> DataFrame:
 
 @query
 def op4_lm_score(t: Tables) -> DataFrame:
-    """Stupid-backoff score of every document under the counts of all documents."""
-    return lm_score.score(t.documents)
+    """Stupid-backoff score of every document under the counts of all documents, in runs of three words."""
+    return lm_score.score(t.documents, order=3)
 
 
 @query

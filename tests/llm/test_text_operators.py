@@ -178,6 +178,42 @@ def test_lm_scores_equal_plain_counts(spark, monkeypatch, limits):
     assert lm_score.score(empty_docs(spark)).count() == 0
 
 
+def plain_backoff(rows, order, min_count=2):
+    grams, followed, out = Counter(), Counter(), {}
+    for _, text in rows:
+        w = lower_words(text)
+        for n in range(1, order + 1):
+            spots = [tuple(w[i : i + n]) for i in range(len(w) - n + 1)]
+            grams.update(spots), followed.update(spots[:-1])
+    total = sum(n for gram, n in grams.items() if len(gram) == 1)
+
+    def gain(gram):
+        if len(gram) == 1:
+            return math.log(grams[gram] / total)
+        return math.log(grams[gram] / followed[gram[:-1]]) if grams[gram] >= min_count else math.log(0.4) + gain(gram[1:])
+
+    for doc, text in rows:
+        w = lower_words(text)
+        n, before = out.get(doc, (0, 0.0))
+        out[doc] = n + len(w), before + sum(gain(tuple(w[max(0, i - order + 1) : i + 1])) for i in range(len(w)))
+    return out
+
+
+@pytest.mark.parametrize("order,limits", [(3, None), (3, (64, 16, 300, 200)), (4, (64, 16, 300, 2000)), (2, (64, 16, 300, 200))])
+def test_lm_scores_of_longer_contexts(spark, monkeypatch, order, limits):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60).union(edge_docs(spark).select("doc_id", "text"))
+    salad = [(900, "a b c x"), (901, "a b c y"), (902, "d b c z"), (903, "d b c z"), (904, "a b c z"), (905, "q"), (906, "q b")]
+    docs = docs.union(spark.createDataFrame(salad, "doc_id long, text string"))
+    for name, value in zip(("HOT_WORDS", "HOT_PAIRS", "BUFFER", "GROUP"), limits or ()):
+        monkeypatch.setattr(lm_score, name, value)
+    got = {r.doc_id: r for r in lm_score.score(docs, order=order).collect()}
+    want = plain_backoff([tuple(r) for r in docs.collect()], order)
+    assert got.keys() == want.keys()
+    for doc, (n, gain) in want.items():
+        assert got[doc].n_words == n and got[doc].log_prob == pytest.approx(gain, rel=1e-9)
+    assert lm_score.score(empty_docs(spark), order=order).count() == 0
+
+
 # --- encoding ---
 
 
