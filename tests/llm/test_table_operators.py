@@ -220,6 +220,37 @@ def test_secret_scan_edges(spark):
     assert {r.text for r in secret_scan.redact(one, found).collect()} == {"token=[secret]", None}
 
 
+ASSIGNED = [
+    ("so password=Tr0ub4dor&3 it is", 1, "Tr0ub4dor&3", "so password=[secret] it is"),
+    ("x2 pwd: x2, and x2", 2, "x2", "x2 pwd: [secret], and x2"),
+    ('a {"api_key": "a.b$c9!d"} z', 2, "a.b$c9!d", 'a {"api_key": "[secret]"} z'),
+    ("-H 'Authorization: Bearer ab.cd9.ef' go", 3, "ab.cd9.ef", "-H 'Authorization: Bearer [secret]' go"),
+    ('passphrase = "4 horse  staples" end', 2, "4 horse  staples", 'passphrase = "[secret]" end'),
+    ("p secret=a secret=\\Eb7 t", 2, "\\Eb7", None),
+]
+
+
+def test_secret_scan_of_assigned_values(spark):
+    docs = spark.createDataFrame([(i, text) for i, (text, *_) in enumerate(ASSIGNED)], "doc_id long, text string")
+    found = secret_scan.candidates(docs)
+    got = {(r.id, r.place, r.value) for r in found.collect()}
+    assert got == {(i, place, value) for i, (_, place, value, _) in enumerate(ASSIGNED)} | {(5, 1, "a")}
+    plain = secret_docs(spark).where("label > 1").select((F.col("doc_id") + 100).alias("doc_id"), "text")
+    scanned = secret_scan.scan(docs.union(plain))
+    flagged = {(r.doc_id, r.value) for r in scanned.where("is_secret").collect()}
+    assert {(i, value) for i, (_, _, value, _) in enumerate(ASSIGNED)} <= flagged and all(i < 100 for i, _ in flagged)
+    masked = {r.doc_id: r.text for r in secret_scan.redact(docs, scanned).collect()}
+    assert all(masked[i] == text for i, (*_, text) in enumerate(ASSIGNED) if text) and masked[5].endswith("secret=[secret] t")
+
+
+def test_secret_labels_leave_doubt_open(spark):
+    keys = ["ghp_" + "a1B2c3" * 6, "sk_" + "live_" + "4eC39HqLyjWDarjtT1", "xoxb-" + "123456789012-abcDEF", "AIza" + "Sy0_-aB" * 5]
+    values = [(k, 1.0) for k in keys] + [("q8Zt4Lw0Xk2Pv6Rb1Nc", None), ("incomprehensibilities", 0.0), ("4111111111111111", 0.0), ("--------------------", 0.0)]
+    docs = spark.createDataFrame([(i, f"see {v} here") for i, (v, _) in enumerate(values)] + [(90, "token: string"), (91, "token: swordfish")], "doc_id long, text string")
+    got = {r.id: r.label for r in secret_scan.label_by_rule(secret_scan.candidates(docs)).collect()}
+    assert got == {**{i: label for i, (_, label) in enumerate(values)}, 90: 0.0, 91: None}
+
+
 # --- pipeline and registration ---
 
 
