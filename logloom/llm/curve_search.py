@@ -16,10 +16,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.llm.hilbert import hilbert_keys
+from logloom.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -72,29 +74,39 @@ def usable(vec_id: str, vector: str) -> Column:
     )
 
 
-def _spread(ids: np.ndarray, ways: np.ndarray) -> np.ndarray:
-    mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(33)) % ways.astype(np.uint64)).astype(np.int64)
+def _row_hashes(ids: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """A hash of id and vector, so that an id that has many vectors is dealt out as well."""
+    vectors = np.fromiter(map(xxhash.xxh3_64_intdigest, raw), np.uint64, len(raw))
+    return (ids.astype(np.uint64) ^ vectors) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _spread(hashed: np.ndarray, ways: np.ndarray) -> np.ndarray:
+    return ((hashed >> np.uint64(33)) % ways.astype(np.uint64)).astype(np.int64)
 
 
 def _nearest(rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The ``k`` nearest rows of a tile for each of its queries."""
+    """The ``k`` nearest ids of a tile for each of its queries, at their smallest distances."""
     asked = rows["asked"].to_numpy()
     ids = rows["vec_id"].to_numpy()
     vectors = np.frombuffer(b"".join(rows["vector"]), np.float64).reshape(len(rows), -1)
     found = {"query_id": [], "vec_id": [], "score": []}
-    data, data_ids = vectors[~asked], ids[~asked]
+    by = np.argsort(ids[~asked], kind="stable")
+    data, data_ids = vectors[~asked][by], ids[~asked][by]
     if len(data):
         norms = (data * data).sum(axis=1)
+        starts = np.flatnonzero(np.append(True, data_ids[1:] != data_ids[:-1]))
         for query, query_id in zip(vectors[asked], ids[asked]):
             rough = norms - 2 * (data @ query)
             rough[data_ids == query_id] = np.inf
-            few = min(k, len(data)) - 1
-            limit = np.partition(rough, few)[few]
+            least = rough if len(starts) == len(data) else np.minimum.reduceat(rough, starts)
+            few = min(k, len(least)) - 1
+            limit = np.partition(least, few)[few]
             slack = 1e-9 * (1 + norms.max() + query @ query)
             at = np.flatnonzero((rough <= limit + slack) & np.isfinite(rough))
             exact = np.sqrt(((data[at] - query) ** 2).sum(axis=1))
-            best = np.lexsort((data_ids[at], exact))[:k]
+            best = np.lexsort((data_ids[at], exact))
+            # the first, and so the nearest, row of each id
+            best = best[np.sort(np.unique(data_ids[at][best], return_index=True)[1])][:k]
             found["query_id"].append(np.full(len(best), query_id))
             found["vec_id"].append(data_ids[at][best])
             found["score"].append(exact[best])
@@ -119,8 +131,9 @@ def search(
     common = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     if common is None:
         return vectors.sparkSession.createDataFrame([], schema)
-    rows = rows.where(F.size("vector") == common.n)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(how.sample).select("vector").toPandas()
+    # rows that repeat id and vector are one; they would crowd the other ids out of a tile
+    rows = cut_lineage(rows.where(F.size("vector") == common.n).groupBy("vec_id", "vector").agg(F.max("asked").alias("asked")))
+    sample = rows.orderBy(F.xxhash64("vec_id", "vector"), "vec_id", "vector").limit(how.sample).select("vector").toPandas()
     index = rows.sparkSession.sparkContext.broadcast(Index(np.stack(sample["vector"]), how))
     blocks, orderings = how.blocks, how.orderings
 
@@ -154,6 +167,7 @@ def search(
                 stacked = np.stack(batch["vector"])
                 at, ids = index.value.blocks(stacked), batch["vec_id"].to_numpy()
                 raw = np.array([v.tobytes() for v in stacked], object)
+                hashed = _row_hashes(ids, raw)
                 is_query = np.flatnonzero(batch["asked"].to_numpy(bool))
                 tiles, who, asked = [], [], []
 
@@ -165,7 +179,7 @@ def search(
                 everyone = np.arange(len(ids))
                 for o in range(orderings):
                     b = at[o]
-                    i, wide = _spread(ids, down[o, b]), across[o, b]
+                    i, wide = _spread(hashed, down[o, b]), across[o, b]
                     for j in range(wide.max()):
                         some = everyone[wide > j]
                         add(o, b[some], some, i[some], np.full(len(some), j), False)
@@ -175,7 +189,7 @@ def search(
                         some, b = is_query[inside], near[inside]
                         if not len(some):
                             continue
-                        j, tall = _spread(ids[some], across[o, b]), down[o, b]
+                        j, tall = _spread(hashed[some], across[o, b]), down[o, b]
                         for i in range(tall.max()):
                             part = tall > i
                             add(o, b[part], some[part], np.full(part.sum(), i), j[part], True)

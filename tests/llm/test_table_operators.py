@@ -161,6 +161,23 @@ def test_curve_search_edges(spark):
     assert curve_search.search(table.where("vec_id = 5"), F.lit(True)).count() == 0
 
 
+def test_curve_search_of_repeated_ids(spark):
+    """Rows that repeat an id, with the same or with other vectors, take no place of another id."""
+    rnd = np.random.default_rng(9)
+    rows = [(i, rnd.normal(size=6).tolist()) for i in range(60)] * 3
+    rows += [(77, (np.array(rows[0][1]) + rnd.normal(size=6) / 100).tolist()) for _ in range(150)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for tile_rows in (2048, 20):
+        how = curve_search.Curves(orderings=1, blocks=1, tile_rows=tile_rows)
+        got = {r.rank: (r.vec_id, r.score) for r in curve_search.search(table, F.col("vec_id") == 0, how=how).collect()}
+        want = plain_nearest(rows)[0]
+        assert [got[k + 1][0] for k in range(10)] == [i for i, _ in want] and len(got) == 10
+        assert [got[k + 1][1] for k in range(10)] == pytest.approx([d for _, d in want], abs=1e-12)
+    raw = np.array([np.array(v).tobytes() for _, v in rows[180:]], object)
+    dealt = curve_search._spread(curve_search._row_hashes(np.full(150, 77), raw), np.full(150, 8))
+    assert np.bincount(dealt, minlength=8).max() < 40  # one id does not fill one tile
+
+
 # --- archive ---
 
 
