@@ -9,7 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.catalog.base import Tables
-from logloom.llm import byte_bpe, curve_search, language, lm_score, mixing, near_dedup, quality, secret_scan, toxicity, warc
+from logloom.llm import (
+    byte_bpe,
+    collocations,
+    curve_search,
+    filter_audit,
+    language,
+    lm_score,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    secret_scan,
+    toxicity,
+    warc,
+)
 from logloom.session import configure, work_dir
 
 #: Rows in one Arrow batch: texts are whole, so a batch of the default size may outgrow a worker.
@@ -108,3 +122,27 @@ def op9_byte_bpe(t: Tables) -> DataFrame:
 def op10_minhash_near_dedup(t: Tables) -> DataFrame:
     """Groups of documents whose sets of two-word shingles share 80 % of their union."""
     return near_dedup.near_duplicates(t.documents, how=near_dedup.NearDedup(percent=80, shingle=2))
+
+
+@query
+def op11_filter_audit(t: Tables) -> DataFrame:
+    """What every filter removes in each of the 120 orders, by language."""
+    return filter_audit.audit(t.documents, t.labels)
+
+
+ORACLES["op11_filter_audit"] = filter_audit.AUDIT_SQL.strip()
+
+
+@query
+def op12_phrase_collocations(t: Tables) -> DataFrame:
+    """The 2,000 strongest phrases of two to five words per language."""
+    return collocations.mine(t.documents)
+
+
+ORACLES["op12_phrase_collocations"] = collocations.PHRASE_SQL.strip()
+
+
+@query
+def op13_packing(t: Tables) -> DataFrame:
+    """All documents as token ids in sequences of 1,024."""
+    return packing.pack(t.documents, public_tokenizers.path("byte_bpe_50k.json"))
