@@ -48,6 +48,28 @@ def check(spark, prefs, **kw):
         assert len(rows) == len(recs)
 
 
+def test_a_base_larger_than_a_bucket(spark):
+    """A base with a third of all preferences is dealt into slices and has the same result."""
+    rng = random.Random(5)
+    prefs = sorted({(rng.randrange(40), rng.randrange(60)) for _ in range(90)} | {(3, i) for i in range(0, 90, 2)})
+    _, recs = brute(prefs, 4)
+    df = spark.createDataFrame(prefs, "base_id LONG, item_id LONG")
+    for size in (5, 20, 44, 10_000):
+        rows = recsys.recommend(df, bucket_prefs=size, panel_items=4).collect()
+        assert {(r.base_id, r.item_id): r.relevance for r in rows} == recs
+
+
+def test_top_neighbours(spark):
+    df = spark.createDataFrame(PREFS, "base_id LONG, item_id LONG")
+    sim, _ = brute(PREFS, 4)
+    ways = {}
+    for (a, b), s in sim.items():
+        ways.setdefault(a, []).append((-round(s, 9), b))
+        ways.setdefault(b, []).append((-round(s, 9), a))
+    want = {(i, o, -s, n) for i, near in ways.items() for n, (s, o) in enumerate(sorted(near)[:2], 1)}
+    assert {tuple(r) for r in recsys.top_neighbours(recsys.item_similarity(df), 2).collect()} == want
+
+
 def test_scores_in_small_chunks(spark, monkeypatch):
     # the scorer sees the constant through its globals, so it is called directly
     import pandas as pd
@@ -57,7 +79,7 @@ def test_scores_in_small_chunks(spark, monkeypatch):
     prefs = sorted({(rng.randrange(9), rng.randrange(12)) for _ in range(50)})
     sim, recs = brute(prefs, 4)
     both = [(a, b, s) for (a, b), s in sim.items()] + [(b, a, s) for (a, b), s in sim.items()]
-    owned = pd.DataFrame([(b, i, h) for b, i in prefs for h in (0, 1)], columns=["base_id", "item_id", "_held"])
+    owned = pd.DataFrame([(b, i, h) for b, i in prefs for h in (0, 1)], columns=["base_id", "item_id", "_held"]).assign(sliced=False)
     sims = pd.DataFrame(both, columns=["_item", "other_id", "similarity"])
     out = recsys._panel_scorer(4, 9)(owned, sims)
     got = {(int(b), int(i)): r for b, i, r in out.itertuples(index=False)}
