@@ -82,7 +82,7 @@ def test_scores_in_small_chunks(spark, monkeypatch):
     owned = pd.DataFrame([(b, i, h) for b, i in prefs for h in (0, 1)], columns=["base_id", "item_id", "_held"]).assign(sliced=False)
     sims = pd.DataFrame(both, columns=["_item", "other_id", "similarity"])
     out = recsys._panel_scorer(4, 9)(owned, sims)
-    got = {(int(b), int(i)): r for b, i, r in out.itertuples(index=False)}
+    got = {(int(b), int(i)): r for b, i, r, _ in out.itertuples(index=False)}
     assert got == recs
 
 
