@@ -5,14 +5,16 @@ and strings them along a Hilbert curve. The curve is cut into ``blocks`` ranges
 about equal numbers of vectors; a query looks through its own range and the two
 beside it in every ordering, and what the windows hold is ranked by exact distance.
 Ranges are shares of the curve, so the share of vectors that a query meets, and
-with it recall, does not fall as the table grows. Range by query tiles of bounded
+with it recall, does not fall as the table grows; all windows together measure less
+than one distance per vector and query. A table with too few vectors for ranges of
+``least`` is one range and every query meets all of it. Range by query tiles of bounded
 size keep one busy range, or one vector that is stored very often, off a single task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -26,12 +28,16 @@ from logloom.session import cut_lineage
 
 @dataclass(frozen=True)
 class Curves:
-    """Shape of the index; ``sample`` bounds the vectors that the ranges are fitted on."""
+    """Shape of the index; ``sample`` bounds the vectors that the ranges are fitted on.
 
-    orderings: int = 24
+    Ranges hold ``least`` vectors or more on average, or the table is one range.
+    """
+
+    orderings: int = 20
     axes: int = 8
     bits: int = 4
     blocks: int = 64
+    least: int = 64
     sample: int = 10_000
     tile_rows: int = 2048
     tile_queries: int = 512
@@ -133,6 +139,8 @@ def search(
         return vectors.sparkSession.createDataFrame([], schema)
     # rows that repeat id and vector are one; they would crowd the other ids out of a tile
     rows = cut_lineage(rows.where(F.size("vector") == common.n).groupBy("vec_id", "vector").agg(F.max("asked").alias("asked")))
+    if how.blocks > 1 and rows.count() < how.blocks * how.least:
+        how = replace(how, blocks=1, orderings=1)
     sample = rows.orderBy(F.xxhash64("vec_id", "vector"), "vec_id", "vector").limit(how.sample).select("vector").toPandas()
     index = rows.sparkSession.sparkContext.broadcast(Index(np.stack(sample["vector"]), how))
     blocks, orderings = how.blocks, how.orderings

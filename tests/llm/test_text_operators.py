@@ -68,7 +68,7 @@ def test_language_edges(spark):
     assert language.identify(empty_docs(spark), model).count() == 0
     assert language.fit(empty_docs(spark)).langs == []
     assert {r.lang_pred for r in language.identify(edge_docs(spark), language.fit(empty_docs(spark))).collect()} == {"und"}
-    kept = language.drop_undetermined(edge_docs(spark), model)
+    kept = language.label(edge_docs(spark), model)
     assert kept.columns == edge_docs(spark).columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 6, 7, 7, 8]
 
 
@@ -266,6 +266,6 @@ def test_mix_ranges_equal_one_window(spark, monkeypatch):
 
 
 def test_mixed_copies(spark):
-    docs = spark.createDataFrame([(1, "a b", "s", 5), (2, "c", "t", 6), (None, "d", "t", 7)], "doc_id long, text string, source string, taken int")
-    mixed = spark.createDataFrame([(1, 2, 4), (2, 1, 0)], "doc_id long, size long, taken long")
-    assert [tuple(r) for r in mixing.mixed_copies(docs, mixed).collect()] == [(1, "a b", "s", 5)] * 2
+    docs = spark.createDataFrame([(1, "a b", "s", 5), (2, "c c c c", "t", 6), (None, "d", "t", 7), (2, "c c c c", "t", 6)], "doc_id long, text string, source string, taken int")
+    got = Counter(tuple(r) for r in mixing.mixed_copies(docs, weights=(1,), share=2.0).collect())
+    assert got == Counter({(1, "a b", "s", 5): 2, (2, "c c c c", "t", 6): 4, (None, "d", "t", 7): 2})
