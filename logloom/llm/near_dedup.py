@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import combinations
 
 import numpy as np
@@ -35,7 +36,11 @@ CELLS = 1 << 21
 
 @dataclass(frozen=True)
 class NearDedup:
-    """``percent`` of the union must be shared; words per shingle; shape of the signature."""
+    """``percent`` of the union must be shared; words per shingle; shape of the signature.
+
+    Pairs that met under a key are not tested if more than ``unlike`` places of their
+    signatures differ: at a similarity of 0.8 that happens once in 10 ** 8 links.
+    """
 
     percent: int = 80
     shingle: int = 5
@@ -45,6 +50,7 @@ class NearDedup:
     hub_rounds: int = 1
     tile_from: int = 64
     tile: int = 256
+    unlike: int = 30
 
     @property
     def places(self) -> int:
@@ -82,10 +88,14 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, how: NearDedup) -> Data
                 counts.append(len(members))
                 digests.append(hashlib.blake2b(members.tobytes(), digest_size=16).digest())
                 signatures.append(signature(members, factors) if len(members) else None)
-            yield pd.DataFrame({"id": batch["id"], "n_shingles": counts, "digest": digests, "sig": signatures})
+            yield pd.DataFrame({"id": batch["id"], "text_hash": batch["text_hash"], "n_shingles": counts, "digest": digests, "sig": signatures})
+
+    return _texts(docs, id_col, text_col).mapInPandas(sign, "id long, text_hash long, n_shingles long, digest binary, sig array<int>")
+
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(sign, "id long, n_shingles long, digest binary, sig array<int>")
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, text, text_hash)``: an id and the hash of its text name a document, also where an id has several."""
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
 
 
 def _keys(how: NearDedup) -> Column:
@@ -102,24 +112,40 @@ def _distance(left: str, right: str) -> Column:
     return F.size(F.filter(F.arrays_zip(F.col(left).alias("a"), F.col(right).alias("b")), lambda p: p["a"] != p["b"]))
 
 
-def _sets(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, how: NearDedup) -> DataFrame:
-    """``(id, members)``: the full shingle sets of the wanted ids."""
+@dataclass(frozen=True)
+class _Texts:
+    """Where the full sets of classes come from: the texts, and which document stands for which class."""
 
-    def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingle_set(text, how.shingle).view(np.int64) for text in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "members": sets})
+    texts: DataFrame
+    named: DataFrame  # (rep, id, text_hash, repeated)
+    shingle: int
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """``(rep, members)``: the full shingle sets of the classes ``wanted(rep)``, one row each."""
+        size = self.shingle
+
+        def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                sets = [shingle_set(text, size).view(np.int64) for text in batch["text"]]
+                yield pd.DataFrame({"rep": batch["rep"], "members": sets})
 
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return texts.join(wanted, "id", "left_semi").mapInPandas(to_sets, "id long, members array<bigint>")
+        named = wanted.join(self.named, "rep")
+        found = self.texts.join(named, ["id", "text_hash"]).select("rep", "text", "repeated")
+        # rows that repeat an id and its text would come more than once
+        again = found.where("repeated").groupBy("rep").agg(F.first("text").alias("text"))
+        rows = found.where("not repeated").select("rep", "text").union(again) if self.repeats else found.select("rep", "text")
+        return rows.mapInPandas(to_sets, "rep long, members array<bigint>")
 
+    @cached_property
+    def repeats(self) -> bool:
+        return not self.named.where("repeated").isEmpty()
 
-def _confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, how: NearDedup) -> DataFrame:
+
+def _confirm(pairs: DataFrame, texts: _Texts, how: NearDedup) -> DataFrame:
     """``pairs(a, b)`` with ``linked``, decided on the full shingle sets."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = _sets(wanted, docs, id_col, text_col, how)
-    with_a = pairs.join(sets.withColumnsRenamed({"id": "a", "members": "of_a"}), "a")
-    with_both = with_a.join(sets.withColumnsRenamed({"id": "b", "members": "of_b"}), "b")
+    sets = texts.sets(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct())
+    with_a = pairs.join(sets.withColumnsRenamed({"rep": "a", "members": "of_a"}), "a")
+    with_both = with_a.join(sets.withColumnsRenamed({"rep": "b", "members": "of_b"}), "b")
     shared = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - F.col("shared")
     return (
@@ -192,7 +218,7 @@ def _rest_pairs(rows: DataFrame, crowds: DataFrame, signatures: DataFrame, how:
     )
     # both outside the largest component: the pair would appear from either side
     once = (F.col("component") == F.col("largest")) | (F.col("rep_a") > F.col("rep"))
-    near = _distance("sig_a", "sig") <= how.max_distance
+    near = _distance("sig_a", "sig") <= max(how.unlike, how.max_distance)
     first = F.array_min(F.array_intersect("keys_a", "keys")) == F.col("key")
     apart = (F.col("component_a") != F.col("component")) & ~F.coalesce(F.col("crowd_a") == F.col("crowd"), F.lit(False))
     return outside.join(full, "key").where(apart & once & near & first).select(
@@ -219,7 +245,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return shared.astype(np.int64)
 
 
-def _crowd_links(crowds: DataFrame, labels: DataFrame, docs: DataFrame, id_col: str, text_col: str, how: NearDedup) -> DataFrame:
+def _crowd_links(crowds: DataFrame, labels: DataFrame, texts: _Texts, how: NearDedup) -> DataFrame:
     """Links between the components of a crowd, tested in tiles of ``tile`` by ``tile`` classes.
 
     Each class outside the largest component of its crowd meets all classes of
@@ -249,8 +275,7 @@ def _crowd_links(crowds: DataFrame, labels: DataFrame, docs: DataFrame, id_col:
         F.ceil((F.sum("count") - F.max("count")) / how.tile).cast("int").alias("across"),
     )
     placed = members.join(shape.where("across > 0"), "crowd").withColumn("h", F.abs(F.xxhash64("rep") % (1 << 30)))
-    sets = _sets(placed.select(F.col("rep").alias("id")).distinct(), docs, id_col, text_col, how)
-    placed = cut_lineage(placed.join(sets.withColumnRenamed("id", "rep"), "rep"))
+    placed = cut_lineage(placed.join(texts.sets(placed.select("rep").distinct()), "rep"))
     names = ["crowd", "i", "j", "rep", "component", "members"]
     across, down = F.explode(F.expr("sequence(0, across - 1)")), F.explode(F.expr("sequence(0, down - 1)"))
     same = ["rep", "component", "members"]
@@ -265,22 +290,29 @@ def _crowd_links(crowds: DataFrame, labels: DataFrame, docs: DataFrame, id_col:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: NearDedup = NearDedup()
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: NearDedup = NearDedup(), hashes: bool = False
 ) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id``, ``kept``.
 
     Links are pairs whose shingle sets share ``percent`` of their union; the
     component is the smallest id reachable. A null or blank text has an empty
     set and no links. A row with a null id is linked with nothing, has a null
-    component and is kept. Rows that repeat an id and its text repeat the result.
-    An empty table gives an empty result; other columns are not looked at.
+    component and is kept. Rows that repeat an id and its text repeat the result;
+    an id with several texts has a row and links for each of them. An empty table
+    gives an empty result; other columns are not looked at. ``hashes`` adds
+    ``text_hash``, Spark's xxhash64 of the text.
     """
     signed = cut_lineage(_signed(docs, id_col, text_col, how))
     with_set = signed.where("id is not null and n_shingles > 0")
-    classes = with_set.groupBy("digest").agg(F.min(F.struct("id", "sig")).alias("first"))
-    classes = classes.select("digest", F.col("first.id").alias("rep"), F.col("first.sig").alias("sig"))
-    classes = cut_lineage(classes)
-    signatures = classes.groupBy("rep").agg(F.min("sig").alias("sig"))
+    classes = with_set.groupBy("digest").agg(F.min(F.struct("id", "text_hash", "sig")).alias("first"))
+    # a class has a number of its own: its id may stand for other texts, too
+    # (nullable, as the optimizer stumbles over unions of columns that never are null)
+    number = F.nullif(F.monotonically_increasing_id(), F.lit(-1))
+    classes = cut_lineage(classes.select(number.alias("rep"), "digest", "first.id", "first.text_hash", "first.sig"))
+    signatures = classes.select("rep", "sig")
+    repeated = with_set.groupBy("id", "text_hash").count().where("count > 1").select("id", "text_hash", F.lit(True).alias("repeated"))
+    named = classes.select("rep", "id", "text_hash").join(repeated, ["id", "text_hash"], "left")
+    texts = _Texts(_texts(docs, id_col, text_col), cut_lineage(named.withColumn("repeated", F.coalesce("repeated", F.lit(False)))), how.shingle)
 
     entries = classes.select("rep", F.explode(_keys(how)).alias("key"))
     shared = entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
@@ -289,23 +321,25 @@ def near_duplicates(
     links = done = None
     for turn in range(how.hub_rounds):
         pairs = cut_lineage(_hub_pairs(buckets, links, turn))
-        tested = cut_lineage(_confirm(pairs, docs, id_col, text_col, how))
+        tested = cut_lineage(_confirm(pairs, texts, how))
         linked, tested = tested.where("linked").select("a", "b"), tested.select("a", "b")
         links, done = (linked, tested) if done is None else (links.union(linked), done.union(tested))
     labels = _hub_labels(buckets, links)
 
     rows = _open_rows(buckets, labels)
     crowds = _crowds(rows, how)
-    in_crowds = _crowd_links(crowds, labels, docs, id_col, text_col, how)
+    in_crowds = _crowd_links(crowds, labels, texts, how)
     rest = _rest_pairs(rows, crowds, signatures, how)
     rest = cut_lineage(rest.join(done.union(done.select("b", "a")), ["a", "b"], "left_anti"))
-    rest_links = _confirm(rest, docs, id_col, text_col, how).where("linked").select("a", "b")
+    rest_links = _confirm(rest, texts, how).where("linked").select("a", "b")
     links = links.union(rest_links).union(in_crowds)
     labels = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     labels = labels.withColumnRenamed("node", "rep")
 
-    found = classes.join(labels, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    narrow = signed.select("id", "n_shingles", "digest")
+    placed = classes.select("rep", "digest", "id").join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    least = placed.groupBy("component").agg(F.min("id").alias("component_id"))
+    found = placed.join(least, "component").select("digest", "component_id")
+    narrow = signed.select("id", "n_shingles", "digest", *(["text_hash"] if hashes else []))
     result = narrow.join(found, "digest", "left").withColumn(
         "component_id", F.when(F.col("id").isNull(), None).otherwise(F.coalesce("component_id", "id"))
     )
@@ -314,4 +348,34 @@ def near_duplicates(
         "n_shingles",
         "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        *(["text_hash"] if hashes else []),
     )
+
+
+#: Rows without an id come behind all others; rows of one text among them are one document.
+NO_ID = 1 << 62
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: NearDedup = NearDedup()) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates, all columns as they are.
+
+    A document is an id and a text. Of each group the one with the smallest id stays
+    (of several texts under that id: the one with the smallest hash), once. Rows
+    without an id take part behind all others. Null and blank texts are linked with
+    nothing and all stay.
+    """
+    names = docs.columns
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID) + F.pmod(F.xxhash64(text_col), F.lit(NO_ID - 1)))
+    rows = docs.select(F.struct(*names).alias("row"), key.alias("_id"), F.col(text_col).alias("_text"))
+    found = near_duplicates(rows, "_id", "_text", how, hashes=True).where("n_shingles > 0")
+    keys = cut_lineage(found.groupBy("component_id", "_id", "text_hash").agg(F.count(F.lit(1)).alias("n")))
+    first = keys.groupBy("component_id").agg(F.min(F.struct("_id", "text_hash")).alias("first"))
+    stays = F.col("first") == F.struct("_id", "text_hash")
+    judged = keys.join(first, "component_id").select("_id", "text_hash", stays.alias("stays"), (F.col("n") > 1).alias("repeated"))
+    judged = cut_lineage(judged.where("repeated or not stays"))
+    keyed = rows.withColumn("text_hash", F.xxhash64("_text"))
+    single = keyed.join(judged.select("_id", "text_hash"), ["_id", "text_hash"], "left_anti").select("row.*")
+    if judged.where("stays").isEmpty():
+        return single
+    again = keyed.join(judged.where("stays"), ["_id", "text_hash"], "left_semi").groupBy("_id", "text_hash")
+    return single.union(again.agg(F.first("row").alias("row")).select("row.*"))
