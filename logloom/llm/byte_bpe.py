@@ -22,8 +22,8 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Entries of each memo of a task; a full memo is emptied.
-MEMO = 1 << 18
+#: Entries of each memo of a task; a full memo is emptied. Longer pieces are not kept.
+MEMO, MEMO_PIECE = 1 << 17, 64
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -46,7 +46,9 @@ class Memo(dict):
     def __missing__(self, key):
         if len(self) >= MEMO:
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.compute(key)
+        if isinstance(key, int) or len(key) <= MEMO_PIECE:
+            self[key] = value
         return value
 
 
@@ -76,8 +78,8 @@ class ByteBPE:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _compatible(self, pair: tuple[int, int]) -> bool:
-        left, right = self.token[pair[0]], self.token[pair[1]]
+    def _compatible(self, pair: int) -> bool:
+        left, right = self.token[pair >> 32], self.token[pair & 0xFFFFFFFF]
         return self._merged(left + right) == [left, right]
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -94,7 +96,7 @@ class ByteBPE:
             while options:
                 rank = options.pop()
                 after = place + len(self.token[rank])
-                if after not in given_up and (not chosen or self.compatible[chosen[-1], rank]):
+                if after not in given_up and (not chosen or self.compatible[chosen[-1] << 32 | rank]):
                     chosen.append(rank)
                     ends.append(after)
                     place = after

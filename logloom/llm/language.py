@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 #: Bits of a language's phrase total inside the packed sum of a text.
 FIELD = 48
-MEMO = 1 << 17
+MEMO, MEMO_WORD = 1 << 16, 64
 
+_letter = regex.compile(r"\p{L}").search
 _words = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
 
 
@@ -33,6 +34,10 @@ def words(text: str | None) -> list[str]:
     return _words(text.lower()) if text else []
 
 
+def has_letter(text: str | None) -> bool:
+    return bool(text) and _letter(text) is not None
+
+
 class SuffixAutomaton:
     """All substrings of a set of marked words, as one transition table."""
 
@@ -135,7 +140,9 @@ class LanguageModel:
             if packed is None:
                 if len(memo) >= MEMO:
                     memo.clear()
-                packed = memo[word] = self._packed(word)
+                packed = self._packed(word)
+                if len(word) <= MEMO_WORD:
+                    memo[word] = packed
             total += packed
         mask = (1 << FIELD) - 1
         return self.bits * [(total >> (FIELD * place)) & mask for place in range(len(self.langs))]
@@ -200,11 +207,30 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     return rows.mapInPandas(run, f"id {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
-def drop_undetermined(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text has a language."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def label(docs: DataFrame, model: LanguageModel, sure: float = 0.9, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose text has a letter, with the language found in it.
 
-    def known(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.predict(text)[0] != UNDETERMINED for text in texts], dtype=bool)
+    Every whole text is identified. The answer replaces a null language, and a given
+    one if its score is at least ``sure``. Null texts and texts without a letter go.
+    Where nothing could be learned, texts with a letter stay as they are. All other
+    columns stay, and so do repeated rows and null ids.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    return docs.where(F.pandas_udf(known, "boolean")(F.col(text_col)))
+    def found(texts: pd.Series, given: pd.Series) -> pd.Series:
+        known, out = shared.value, []
+        for text, lang in zip(texts, given):
+            if not has_letter(text):
+                out.append(None)
+            elif not known.langs:
+                out.append(lang or "")
+            else:
+                guess, score = known.predict(text)
+                out.append(guess if lang is None or score >= sure else lang)
+        return pd.Series(out, dtype=object)
+
+    names = docs.columns
+    told = F.pandas_udf(found, "string")(F.col(text_col).cast("string"), F.col(lang_col).cast("string"))
+    rows = docs.select(*names, told.alias("_told")).where("_told is not null")
+    lang = F.coalesce(F.nullif("_told", F.lit("")).cast(docs.schema[lang_col].dataType), F.col(lang_col)).alias(lang_col)
+    return rows.select(*(lang if name == lang_col else F.col(name) for name in names))

@@ -135,13 +135,18 @@ FROM r
 """
 
 
-def mixed_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def mixed_copies(docs: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, at least in part; columns as they are.
 
-    ``mixed`` is the result of ``mix``. Documents stay whole: the one at the cut of
-    a source counts as taken. Rows without an id or without words are left out.
+    Documents stay whole: the one at the cut of a source counts as taken. Rows are
+    told apart by all they hold, so rows with null or repeated ids take part like
+    all others; equal rows are taken equally often. Rows without words are left out.
+    ``how`` goes to ``mix``.
     """
+    names = docs.columns
+    rows = docs.select(*names, F.xxhash64(*names).cast("string").alias("_row"))
+    mixed = mix(rows.withColumnRenamed("_row", "_mixed_row"), id_col="_mixed_row", text_col=text_col, **how)
     copies = F.expr("(taken + size - 1) div size")
-    often = mixed.where("taken > 0").groupBy(F.col(id_col).alias("_id")).agg(F.max(copies).cast("int").alias("_copies"))
-    joined = docs.join(often, F.col(id_col) == F.col("_id")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return joined.select(*docs.columns)
+    often = mixed.where("taken > 0").groupBy(F.col("_mixed_row").alias("_row")).agg(F.max(copies).cast("int").alias("_copies"))
+    joined = rows.join(often, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return joined.select(*names)
