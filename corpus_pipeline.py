@@ -14,20 +14,23 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in which no language can be told: null texts and texts without a letter."""
+    """Fill in the language where it is null; documents without a letter (and null texts) go.
+
+    Texts with a letter all stay, also where no label was there to learn from (their
+    language then stays null). Null ids and repeated rows are kept row by row.
+    """
     whole_texts(spark)
-    return language.drop_undetermined(docs, language.fit(docs))
+    return language.label(docs, language.fit(docs))
 
 
 def near_dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near-duplicates (five-word shingles, 0.8).
+    """Keep one document of each group of near-duplicates (five-word shingles, 0.8): that with the smallest id.
 
-    Documents without an id are linked with nothing and stay.
+    A document is an id and its text: an id with two texts is two documents, equal rows
+    are one. Documents without an id take part behind all others.
     """
     whole_texts(spark)
-    groups = near_dedup.near_duplicates(docs, how=near_dedup.NearDedup(percent=80, shingle=5))
-    copies = groups.where("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return near_dedup.drop_near_duplicates(docs, how=near_dedup.NearDedup(percent=80, shingle=5))
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,13 +40,16 @@ def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; the one at a source's cut stays whole."""
+    """Each document as often as the mix takes it; the one at a source's cut stays whole.
+
+    Rows with null or repeated ids and a null source take part like all others.
+    """
     whole_texts(spark)
-    return mixing.mixed_copies(docs, mixing.mix(docs))
+    return mixing.mixed_copies(docs)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded bytes of every row."""
+    """Token counts and digests of the ids and of the decoded bytes of every row, null and repeated ids included."""
     whole_texts(spark)
     tokenizer = byte_bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return byte_bpe.digests(tokenizer.encode(docs), tokenizer)
