@@ -139,10 +139,10 @@ class Filter:
     def of(cls, phrases: DataFrame, columns: list[str], limit: int) -> Filter:
         """Build from the rows of ``phrases`` (lang and number columns): tasks set bits, Spark unites them.
 
-        Sixteen bits for each phrase as long as that is at most ``2 ** limit``, so the
-        table that reaches the driver has a fixed bound.
+        At least 64 bits for each phrase as long as that is at most ``2 ** limit``, so
+        the table that reaches the driver has a fixed bound.
         """
-        bits = min(limit, max(16, 4 + max(1, phrases.count()).bit_length()))
+        bits = min(limit, 6 + max(1 << 10, phrases.count()).bit_length())
 
         def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found = np.zeros(1 << (bits - 6), np.uint64)
@@ -184,59 +184,82 @@ def group_phrases(columns: list[np.ndarray], keys: np.ndarray, before: np.ndarra
 AROUND = ["before_lo", "before_hi", "after_lo", "after_hi"]
 
 
-def _count(table: DataFrame, size: int, chosen: Callable[[np.ndarray, np.ndarray, np.ndarray, np.uint64], np.ndarray], need: Filter) -> DataFrame:
-    """Exact counts ``(lang, w0 .., a, ...)`` of the phrases of ``size`` words that ``chosen`` lets through.
+#: Places to keep of those given: (places, words known, codes, salt of the language, size of the phrases).
+Choice = Callable[[np.ndarray, np.ndarray, np.ndarray, np.uint64, int], np.ndarray]
 
-    ``chosen(places, known, codes, salt)`` returns the places to keep; only phrases of
-    words in ``need`` are shown to it. All occurrences of a phrase are treated alike.
+
+def _count(table: DataFrame, sizes: list[int], chosen: Choice, need: Filter) -> DataFrame:
+    """Exact counts ``(lang, w0 .., a, ...)`` of the phrases of ``sizes`` words that ``chosen`` lets through.
+
+    Only places of phrases of words in ``need`` are shown to ``chosen``, which treats
+    all occurrences of a phrase alike. Shorter phrases are filled up with 0.
     """
+    longest = max(sizes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, codes, numbers, wide in zip(batch["lang"], batch["codes"], batch["numbers"], batch["wide"]):
                 known, codes = np.frombuffer(numbers, np.uint64), np.frombuffer(codes, f"<u{wide}")
-                if len(codes) <= size:
-                    continue
                 salt = language_salt(lang)
-                frequent = (known != 0) & need.holds(phrase_keys([known], salt))
-                usable = frequent[codes]
-                open_ = usable[: len(codes) - size + 1]
-                for shift in range(1, size):
-                    open_ = open_ & usable[shift : len(codes) - size + 1 + shift]
-                at = chosen(np.flatnonzero(open_), known, codes, salt)
-                if not len(at):
-                    continue
-                # every run ends with a break, which the first place finds before it, too
-                before = known[codes[at - 1]]
-                columns = [known[codes[at + shift]] for shift in range(size)]
-                groups = group_phrases(columns, phrase_keys(columns, salt), before, known[codes[at + size]])
-                yield pd.DataFrame({"lang": lang, **groups})
-
-    words = _words(size)
-    schema = ", ".join(f"{c} long" for c in [*words, "a", *AROUND])
+                usable = ((known != 0) & need.holds(phrase_keys([known], salt)))[codes]
+                for size in sizes:
+                    if len(codes) <= size:
+                        continue
+                    starts = len(codes) - size + 1
+                    open_ = usable[:starts]
+                    for shift in range(1, size):
+                        open_ = open_ & usable[shift : starts + shift]
+                    at = chosen(np.flatnonzero(open_), known, codes, salt, size)
+                    if not len(at):
+                        continue
+                    columns = [known[codes[at + shift]] for shift in range(size)]
+                    # every run ends with a break, which the first place finds before it, too
+                    groups = group_phrases(columns, phrase_keys(columns, salt), known[codes[at - 1]], known[codes[at + size]])
+                    groups |= {name: np.int64(0) for name in _words(longest)[size:]}
+                    yield pd.DataFrame({"lang": lang, **groups}).reindex(columns=names)
+
+    words = _words(longest)
+    names = ["lang", *words, "a", *AROUND]
     texts = table.where("codes is not null").select("lang", "codes", "numbers", "wide")
     around = [(F.min if c.endswith("lo") else F.max)(c).alias(c) for c in AROUND]
-    return texts.mapInPandas(run, f"lang string, {schema}").groupBy("lang", *words).agg(F.sum("a").alias("a"), *around)
+    counted = texts.mapInPandas(run, f"lang string, {', '.join(f'{c} long' for c in names[1:])}")
+    return counted.groupBy("lang", *words).agg(F.sum("a").alias("a"), *around)
 
 
-def _grown(table: DataFrame, size: int, prefixes: Filter, frequent: Filter, least: int) -> DataFrame:
-    """Phrases of ``size`` words with at least ``least`` occurrences that grow from a prefix."""
+def _grown(table: DataFrame, size: int, shorter: DataFrame, frequent: Filter, last: Filter, how: Mining) -> DataFrame:
+    """Phrases of ``size`` words with at least ``how.least`` occurrences that grow from ``shorter`` and end in ``last``."""
+    before = _words(size - 1)
+    prefixes = Filter.of(shorter, before, how.filter_bits)
 
-    def chosen(at, known, codes, salt):
+    def chosen(at, known, codes, salt, size):
+        single = phrase_keys([known], salt)
+        at = at[last.holds(single)[codes[at + size - 1]]]
         if size == 2:  # the prefix is a word: looked up once per word, not per place
-            return at[prefixes.holds(phrase_keys([known], salt))[codes[at]]]
+            return at[prefixes.holds(single)[codes[at]]]
         return at[prefixes.holds(phrase_keys([known[codes[at + shift]] for shift in range(size - 1)], salt))]
 
-    return _count(table, size, chosen, frequent).where(F.col("a") >= least)
+    grown = _count(table, [size], chosen, frequent).where(F.col("a") >= how.least)
+    # the filter may have let other prefixes pass
+    return grown.join(shorter.select("lang", *before), ["lang", *before], "left_semi")
 
 
-def _wanted(table: DataFrame, size: int, wanted: Filter, frequent: Filter) -> DataFrame:
-    """Counts of at least all phrases in ``wanted``."""
+def _counted_ends(table: DataFrame, phrases: DataFrame, frequent: Filter, how: Mining) -> DataFrame:
+    """``(lang, phrase, a)`` of what is left of ``phrases`` behind each cut, if it has two words or more."""
+    longest = how.longest - 1
+    if longest < 2:
+        return phrases.select("lang", "phrase", F.lit(0).cast("long").alias("a")).where("false")
+    ends = phrases.where("size(phrase) > 2").select("lang", "phrase", F.explode(F.expr("sequence(2, size(phrase) - 1)")).alias("n"))
+    ends = ends.select("lang", F.expr("slice(phrase, size(phrase) - n + 1, n)").alias("phrase")).distinct()
+    filled = F.concat("phrase", F.array_repeat(F.lit(0).cast("long"), F.lit(longest) - F.size("phrase")))
+    ends = cut_lineage(ends.select("lang", "phrase", *(filled[i].alias(w) for i, w in enumerate(_words(longest)))))
+    wanted = Filter.of(ends, _words(longest), how.filter_bits)
 
-    def chosen(at, known, codes, salt):
-        return at[wanted.holds(phrase_keys([known[codes[at + shift]] for shift in range(size)], salt))]
+    def chosen(at, known, codes, salt, size):
+        columns = [known[codes[at + shift]] for shift in range(size)]
+        return at[wanted.holds(phrase_keys(columns + [np.zeros(len(at), np.uint64)] * (longest - size), salt))]
 
-    return _count(table, size, chosen, frequent)
+    counted = _count(table, list(range(2, longest + 1)), chosen, frequent)
+    return ends.join(counted, ["lang", *_words(longest)]).select("lang", "phrase", "a")
 
 
 #: Exact for counts below 10 ** 16: the products fit 38 digits.
@@ -336,24 +359,19 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", how: M
         bounds = F.broadcast(spark.createDataFrame([(lang, *ends) for lang, ends in slab.items()], "lang string, lo int, hi int"))
         start = words.join(bounds, "lang").where("class between lo and hi").select("lang", "w0", "a")
         levels = {1: start}
+        beat = F.broadcast(spark.createDataFrame(list(worst.items()), "lang string, beat long"))
+        # what ends a phrase bounds its score as its first word does
+        promising = words.join(F.broadcast(totals), "lang").join(beat, "lang", "left").where("beat is null or 1000 * n div a >= beat")
+        ending = Filter.of(promising, ["w0"], limit) if worst else frequent
         for size in range(2, how.longest + 1):
-            prefixes = Filter.of(levels[size - 1], _words(size - 1), limit)
-            levels[size] = cut_lineage(_grown(table, size, prefixes, frequent, how.least))
+            levels[size] = cut_lineage(_grown(table, size, levels[size - 1], frequent, ending if size == how.longest else frequent, how))
         left = reduce(DataFrame.union, (_as_phrases(rows, size) for size, rows in levels.items()))
         alone = _as_phrases(words, 1)
         alive = reduce(DataFrame.union, (_as_phrases(_survivors(levels[size], size, how.longest), size) for size in range(2, how.longest + 1)))
         # the last cut needs no counts but the known ones, and no phrase scores more than there
         last = _scored(alive, F.array(F.size("phrase") - 1), left, alone, totals)
-        if worst:
-            beat = F.broadcast(spark.createDataFrame(list(worst.items()), "lang string, beat long"))
-            last = last.join(beat, "lang", "left").where("beat is null or weakest.score >= beat").drop("beat")
-        last = cut_lineage(last)
-        right = alone
-        for size in range(2, how.longest):
-            ends = last.where(F.size("phrase") > size).select("lang", F.expr(f"slice(phrase, size(phrase) - {size - 1}, {size})").alias("phrase"))
-            ends = cut_lineage(ends.distinct().select("lang", "phrase", *(F.col("phrase")[i].alias(w) for i, w in enumerate(_words(size)))))
-            counted = _as_phrases(_wanted(table, size, Filter.of(ends, _words(size), limit), frequent), size)
-            right = right.union(counted.join(ends.select("lang", "phrase"), ["lang", "phrase"], "left_semi"))
+        last = cut_lineage(last.join(beat, "lang", "left").where("beat is null or weakest.score >= beat").drop("beat"))
+        right = alone.union(_counted_ends(table, last, frequent, how))
         scored = _scored(last.select("lang", "phrase", "a"), F.expr("sequence(1, size(phrase) - 1)"), left, right, totals)
         best = scored if best is None else best.union(scored)
         place = F.rank().over(Window.partitionBy("lang").orderBy(F.desc("weakest.score"), F.desc("a")))
