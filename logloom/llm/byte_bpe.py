@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Entries of each memo of a task; a full memo is emptied. Longer pieces are not kept.
+#: Entries of each half of a memo of a task. Longer pieces are not kept.
 MEMO, MEMO_PIECE = 1 << 17, 64
 
 
@@ -37,16 +37,19 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
 
 
 class Memo(dict):
-    """A dict that computes what it lacks and never holds more than ``MEMO`` entries."""
+    """A dict that computes what it lacks and keeps at most twice ``MEMO`` entries: the latest and those before."""
 
     def __init__(self, compute):
         super().__init__()
-        self.compute = compute
+        self.compute, self.older = compute, {}
 
     def __missing__(self, key):
         if len(self) >= MEMO:
+            self.older = dict(self)
             self.clear()
-        value = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
         if isinstance(key, int) or len(key) <= MEMO_PIECE:
             self[key] = value
         return value

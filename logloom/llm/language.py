@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 #: Bits of a language's phrase total inside the packed sum of a text.
 FIELD = 48
+#: Words of each half of the memo, the latest and those before; longer words are not kept.
 MEMO, MEMO_WORD = 1 << 16, 64
 
 _letter = regex.compile(r"\p{L}").search
@@ -121,6 +122,7 @@ class LanguageModel:
         self.automata = [SuffixAutomaton(sorted(set(used[lang]))) for lang in self.langs]
         self.bits = np.array([log2(2 + sum(map(len, used[lang]))) for lang in self.langs])
         self.memo: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
     def _packed(self, word: str) -> int:
         """Phrases of a word in every language, side by side in one integer."""
@@ -139,8 +141,9 @@ class LanguageModel:
             packed = memo.get(word)
             if packed is None:
                 if len(memo) >= MEMO:
-                    memo.clear()
-                packed = self._packed(word)
+                    self.older, memo = memo, {}
+                    self.memo = memo
+                packed = self.older.get(word) or self._packed(word)
                 if len(word) <= MEMO_WORD:
                     memo[word] = packed
             total += packed
