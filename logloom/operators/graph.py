@@ -29,13 +29,12 @@ def build_graph(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
 def enumerate_paths(edges: DataFrame, max_len: int) -> DataFrame:
     """(path, length): every path of 1 to ``max_len`` edges that repeats no edge.
 
-    Each round extends the paths of the round before by one edge. A round is
+    Each round extends the paths of the round before by one edge; the pages in
+    which many of these paths end are counted anew and salted. A round is
     checkpointed, so the next one and the final union read it instead of
     running all earlier joins again, and a lost executor costs one round only.
     """
     links = cut_lineage(distinct_edges(edges))
-    incoming = links.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(incoming.withColumnRenamed("dst", "src"), "src", "n")
     level = links.select(F.array("src", "dst").alias("path"), F.col("dst").alias("src"))
     levels = [level]
     for step in range(1, max_len):
@@ -44,6 +43,7 @@ def enumerate_paths(edges: DataFrame, max_len: int) -> DataFrame:
             lambda i: (F.element_at("path", i) == F.col("src"))
             & (F.element_at("path", i + 1) == F.col("dst")),
         )
+        hot = hot_keys(level.groupBy("src").agg(F.count(F.lit(1)).alias("n")), "src", "n")
         level = (
             salted_join(level, links, "src", hot, F.col("path"))
             .where(~used)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,42 +117,88 @@ def _piece_probes(text: Column, depth: int) -> Column:
     return F.array_distinct(F.array_compact(F.transform(codes, key)))
 
 
-def _right_keys(name: Column, depth: int) -> Column:
-    return F.when(F.length(name) <= VARIANT_LENGTH, _variants(name, depth)).otherwise(
-        _pieces(name, depth)
-    )
-
-
-def _left_keys(name: Column, depth: int) -> Column:
-    none = F.array().cast("array<bigint>")
-    n = F.length(name)
-    short = F.when(n <= VARIANT_LENGTH + depth, _variants(name, depth)).otherwise(none)
-    long = F.when(n > VARIANT_LENGTH - depth, _piece_probes(name, depth)).otherwise(none)
-    return F.array_distinct(F.concat(short, long))
-
-
-def swap_aware_distance() -> Callable[[Column, Column], Column]:
-    """Vectorised edit distance where an adjacent swap costs 1 (Arrow batches)."""
-    def distance(a: str, b: str) -> int:
-        before, last = [], list(range(len(b) + 1))
-        for i, ca in enumerate(a, start=1):
-            row = [i]
-            for j, cb in enumerate(b, start=1):
-                best = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (ca != cb))
-                if i > 1 and j > 1 and ca == b[j - 2] and a[i - 2] == cb:
-                    best = min(best, before[j - 2] + 1)
-                row.append(best)
-            before, last = last, row
-        return last[-1]
+#: Characters that one block of the distance table may hold.
+BLOCK_CHARACTERS = 2_000_000
+
+
+def _characters(texts: list[str], width: int) -> np.ndarray:
+    return np.array(texts, dtype=f"U{width}").view(np.uint32).reshape(len(texts), width)
+
+
+def _banded(left: list[str], right: list[str], limit: int) -> np.ndarray:
+    # column t of the band is the cell (i, i + t - limit) of the edit table
+    n_left, n_right = (np.array([len(x) for x in side]) for side in (left, right))
+    rows = int(n_left.max())
+    a = _characters(left, rows + 1)
+    b = _characters(right, max(int(n_right.max()), rows + limit) + 1)
+    far = limit + 1
+    bands = 2 * limit + 1
+    end = n_right - n_left + limit
+    inside = (end >= 0) & (end < bands)
+    place = np.clip(end, 0, bands - 1)
+    every = np.arange(len(left))
+    found = np.full(len(left), far)
+    before = np.full((len(left), bands), far)
+    last = np.full((len(left), bands), far)
+    for j in range(limit + 1):
+        last[:, limit + j] = j
+    found[n_left == 0] = last[every, place][n_left == 0]
+    for i in range(1, rows + 1):
+        row = np.full((len(left), bands), far)
+        for t in range(max(0, limit - i), bands):
+            j = i + t - limit
+            if j == 0:
+                row[:, t] = min(i, far)
+                continue
+            best = last[:, t] + (a[:, i - 1] != b[:, j - 1])
+            if t + 1 < bands:
+                best = np.minimum(best, last[:, t + 1] + 1)
+            if t > 0:
+                best = np.minimum(best, row[:, t - 1] + 1)
+            if i > 1 and j > 1:
+                swapped = (a[:, i - 1] == b[:, j - 2]) & (a[:, i - 2] == b[:, j - 1])
+                best = np.where(swapped, np.minimum(best, before[:, t] + 1), best)
+            row[:, t] = np.minimum(best, far)
+        done = n_left == i
+        found[done] = row[every, place][done]
+        before, last = last, row
+    return np.where(inside, found, far)
+
+
+def swap_aware_distance(limit: int) -> Callable[[Column, Column], Column]:
+    """Edit distance where an adjacent swap costs 1; ``limit + 1`` stands for all above ``limit``.
+
+    Only the ``2 * limit + 1`` diagonals that can matter are computed, for a block of
+    pairs at a time; pairs of like length share a block of bounded size.
+    """
 
     @F.pandas_udf("int")
     def distances(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([distance(a, b) for a, b in zip(left, right)], dtype="int32")
+        size = left.str.len().to_numpy(dtype=np.int64)
+        out = np.empty(len(left), dtype=np.int32)
+        order = np.argsort(size, kind="stable")[::-1]
+        start = 0
+        while start < len(order):
+            wide = int(size[order[start]]) + 2 * limit + 2
+            block = order[start : start + max(1, BLOCK_CHARACTERS // wide)]
+            out[block] = _banded(left.iloc[block].tolist(), right.iloc[block].tolist(), limit)
+            start += len(block)
+        return pd.Series(out)
 
     # keeps Spark from moving the comparison below the de-duplication of pairs
     return distances.asNondeterministic()
 
 
+def _alike(max_dist: int) -> Column:
+    # a swap is two plain edits, so the plain distance is at most twice the other
+    near = F.abs(F.length("_left") - F.length("_right")) <= max_dist
+    return near & (F.levenshtein(F.col("_left"), F.col("_right"), 2 * max_dist) >= 0)
+
+
+def _keyed(names: DataFrame, group: str, name: str, alias: str, keys: Column, *others: str) -> DataFrame:
+    return widen(names).select(F.col(group).alias("_g"), F.col(name).alias(alias), *others, F.explode(keys).alias("_key"))
+
+
 def fuzzy_join(
     left: DataFrame,
     right: DataFrame,
@@ -164,32 +211,47 @@ def fuzzy_join(
     """Left rows with the nearest right name of their group within ``max_dist``.
 
     Adds ``matched`` and ``distance``; of equally near names the first in
-    ``right_order`` wins and unmatched rows are dropped. Only distinct names are
-    compared, and only those that share a key which every pair within
-    ``max_dist`` must share, so no group is compared with itself in full.
+    ``right_order`` wins and unmatched rows are dropped. Equal names are joined
+    first. Of the others only distinct names are compared, and only those that
+    share a key which every pair within ``max_dist`` must share, so no group is
+    compared with itself in full. A piece that many long names have in common is
+    salted by its count; length and plain distance sort pairs out before the
+    exact distance sees them.
     """
-    names = left.where(F.col(left_on).isNotNull()).groupBy(group, left_on).agg(
+    known = F.col(group).isNotNull()
+    names = left.where(F.col(left_on).isNotNull() & known).groupBy(group, left_on).agg(
         F.count(F.lit(1)).alias("_rows")
     )
-    targets = right.where(F.col(right_on).isNotNull()).groupBy(group, right_on).agg(
+    targets = right.where(F.col(right_on).isNotNull() & known).groupBy(group, right_on).agg(
         F.min(right_order).alias("_order")
     )
-    left_keys = widen(names).select(
-        F.col(group).alias("_g"),
-        F.col(left_on).alias("_left"),
-        F.explode(_left_keys(F.col(left_on), max_dist)).alias("_key"),
-    )
-    right_keys = widen(targets).select(
-        F.col(group).alias("_g"),
-        F.col(right_on).alias("_right"),
-        "_order",
-        F.explode(_right_keys(F.col(right_on), max_dist)).alias("_key"),
+    same = targets.select(group, F.col(right_on).alias(left_on))
+    equal = names.join(same, [group, left_on], "left_semi")
+    others = names.join(same, [group, left_on], "left_anti")
+
+    n_left, n_right = F.length(left_on), F.length(right_on)
+    short = _keyed(
+        others.where(n_left <= VARIANT_LENGTH + max_dist), group, left_on, "_left", _variants(F.col(left_on), max_dist)
+    ).join(
+        _keyed(targets.where(n_right <= VARIANT_LENGTH), group, right_on, "_right", _variants(F.col(right_on), max_dist), "_order"),
+        ["_g", "_key"],
     )
+    pieces = _keyed(
+        targets.where(n_right > VARIANT_LENGTH), group, right_on, "_right", _pieces(F.col(right_on), max_dist), "_order"
+    ).select(F.struct("_g", "_key").alias("_piece"), "_right", "_order")
+    probes = _keyed(
+        others.where(n_left > VARIANT_LENGTH - max_dist), group, left_on, "_left", _piece_probes(F.col(left_on), max_dist)
+    ).select(F.struct("_g", "_key").alias("_piece"), "_g", "_left")
+    crowded = hot_keys(probes.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n")), "_piece", "_n")
+    long = salted_join(probes, pieces, "_piece", crowded, F.col("_left"))
+
+    columns = ["_g", "_left", "_right", "_order"]
     pairs = (
-        left_keys.join(right_keys, ["_g", "_key"])
-        .select("_g", "_left", "_right", "_order")
+        short.select(columns)
+        .unionByName(long.select(columns))
+        .where(_alike(max_dist))
         .distinct()
-        .withColumn("_dist", swap_aware_distance()("_left", "_right"))
+        .withColumn("_dist", swap_aware_distance(max_dist)("_left", "_right"))
         .where(F.col("_dist") <= max_dist)
     )
     nearest = pairs.groupBy("_g", "_left").agg(
@@ -204,10 +266,11 @@ def fuzzy_join(
     def name_key(df):
         return df.withColumn("_name", F.struct(F.col(group).alias("g"), F.col(left_on).alias("n")))
 
+    exact = name_key(equal).select("_name", F.col(left_on).alias("matched"), F.lit(0).alias("distance"))
     hot = hot_keys(name_key(names), "_name", "_rows")
     # maps cannot be hashed; any other columns tell the rows of one name apart
     spread = F.struct(*[F.col(c) for c, kind in left.dtypes if "map<" not in kind])
-    return salted_join(name_key(left), matches, "_name", hot, spread).drop("_name")
+    return salted_join(name_key(left), matches.unionByName(exact), "_name", hot, spread).drop("_name")
 
 
 def area_name(level: Column, adm1: Column, adm2: Column) -> Column:
@@ -238,30 +301,50 @@ def cidr_ranges(blocks: DataFrame, cidr: str = "cidr") -> DataFrame:
     )
 
 
-def geo_ip(df: DataFrame, ip: str, blocks: DataFrame, name: str = "country") -> DataFrame:
+#: Blocks of one prefix length up to which they are broadcast (some 30 MB).
+BROADCAST_BLOCKS = 500_000
+
+
+def _network(ip: Column, prefix: int) -> Column:
+    size = 2 ** (32 - prefix)
+    return F.floor(ip / size) * size
+
+
+def geo_ip(
+    df: DataFrame, ip: str, blocks: DataFrame, name: str = "country", broadcast_blocks: int = BROADCAST_BLOCKS
+) -> DataFrame:
     """Add the country of an address; the longest matching prefix wins, else null.
 
-    The ranges are laid out over /16 buckets, one row per bucket with its ranges
-    longest prefix first, so each address meets one row: an equi-join that
-    Spark broadcasts when the measured table is small and shuffles otherwise.
+    There is one equi-join on the network address per prefix length present, at
+    most 33. Where every length has at most ``broadcast_blocks`` blocks they are
+    broadcast and no row of ``df`` moves. Otherwise the distinct addresses are
+    looked up and joined back, frequent ones salted. Rows without a valid address
+    pass by the joins. Of equal blocks the smaller country name wins.
     """
-    entry = F.struct(
-        (-F.col("prefix")).alias("p"), "start", "end", F.col("country").alias("name")
-    )
-    buckets = (
-        cidr_ranges(blocks)
-        .withColumn(
-            "_bucket",
-            F.explode(F.sequence(F.shiftright("start", 16), F.shiftright("end", 16))),
-        )
-        .groupBy("_bucket")
-        .agg(F.array_sort(F.collect_set(entry)).alias("_ranges"))
-    )
+    entries = cidr_ranges(blocks).groupBy("prefix", "start").agg(F.min("country").alias("_name"))
+    # at most 33 rows
+    sizes = {r["prefix"]: r["n"] for r in entries.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).collect()}
     numbered = df.withColumn("_ip", ip_to_number(F.col(ip)))
-    numbered = numbered.withColumn("_bucket", F.shiftright("_ip", 16))
-    hit = F.filter("_ranges", lambda r: F.col("_ip").between(r["start"], r["end"]))
-    return (
-        numbered.join(buckets, "_bucket", "left")
-        .withColumn(name, F.get(hit, F.lit(0))["name"])
-        .drop("_bucket", "_ip", "_ranges")
-    )
+    small = max(sizes.values(), default=0) <= broadcast_blocks
+
+    def looked_up(rows: DataFrame) -> DataFrame:
+        for prefix in sizes:
+            table = entries.where(F.col("prefix") == prefix).select(
+                F.col("start").alias("_net"), F.struct("_name").alias(f"_hit{prefix}")
+            )
+            if small:
+                table = F.broadcast(table)
+            rows = rows.withColumn("_net", _network(F.col("_ip"), prefix)).join(table, "_net", "left").drop("_net")
+        hits = [F.col(f"_hit{p}") for p in sorted(sizes, reverse=True)]
+        best = F.coalesce(*hits)["_name"] if hits else F.lit(None).cast("string")
+        return rows.withColumn(name, best).drop(*[f"_hit{p}" for p in sizes])
+
+    if small:
+        return looked_up(numbered).drop("_ip")
+    valid = numbered.where(F.col("_ip").isNotNull())
+    counts = valid.groupBy("_ip").agg(F.count(F.lit(1)).alias("_n"))
+    named = looked_up(counts.select("_ip"))
+    spread = F.struct(*[F.col(c) for c, kind in df.dtypes if "map<" not in kind])
+    found = salted_join(valid, named, "_ip", hot_keys(counts, "_ip", "_n"), spread)
+    without = numbered.where(F.col("_ip").isNull()).withColumn(name, F.lit(None).cast("string"))
+    return found.unionByName(without).drop("_ip")

@@ -48,12 +48,19 @@ def refine(
 
     ``fine`` must follow the order inside a bucket; ``[*bucket, name]`` then is a
     bucketing in which no crowded bucket is left whole. The crowded buckets are
-    at most one per ``limit`` rows.
+    at most one per ``limit`` rows; each is listed once per salt, so that its rows
+    also spread over tasks where the list is too large to broadcast.
     """
-    tagged = _tag(df, keys, bucket)
-    crowded = tagged.groupBy("_segment").count().where(F.col("count") > limit).select("_segment", F.lit(True).alias("_full"))
-    joined = tagged.join(crowded, "_segment", "left")
-    return joined.withColumn(name, F.when(F.col("_full"), fine).otherwise(F.lit(0))).drop("_segment", "_full")
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(1, min(partitions, limit // 100))
+    hashable = F.struct(*[F.col(c) for c, kind in df.dtypes if "map<" not in kind])
+    tagged = _tag(df, keys, bucket).withColumn("_salt", F.pmod(F.xxhash64(hashable), F.lit(salts)).cast("int"))
+    full = tagged.groupBy("_segment").count().where(F.col("count") > limit)
+    crowded = full.select(
+        "_segment", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"), F.lit(True).alias("_full")
+    )
+    joined = tagged.join(crowded, ["_segment", "_salt"], "left")
+    return joined.withColumn(name, F.when(F.col("_full"), fine).otherwise(F.lit(0))).drop("_segment", "_salt", "_full")
 
 
 def number_rows(

@@ -247,20 +247,36 @@ def read_preferences(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, schema=PREFERENCE_SCHEMA).select("base_id", "item_id")
 
 
+#: Files above this many bytes are listed without a fingerprint: a row cannot hold them.
+LARGEST_FILE = 1_000_000_000
+
+
 def file_inventory(
-    spark: SparkSession, folder: str, glob: str | None = None, min_kb: int = 0
+    spark: SparkSession, folder: str, glob: str | None = None, min_kb: int = 0, largest: int = LARGEST_FILE
 ) -> DataFrame:
-    """Path, length and MD5 of every readable file below ``folder``.
+    """Path, length, MD5 and state of every file below ``folder``.
 
-    ``min_kb`` filters on the file length and is pushed down, so the content of
-    smaller files is never read.
+    ``state`` is ``ok``, ``unreadable`` or ``too large``; the last two have a null
+    fingerprint. The listing reads no content, so a damaged file still has its
+    row. ``min_kb`` and ``largest`` (bytes) filter on the file length and are pushed
+    down: the content of other files is never read.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    reader = reader.option("ignoreCorruptFiles", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(folder).where(F.col("length") >= min_kb * 1024)
-    return files.select("path", "length", F.md5("content").alias("fingerprint"))
+
+    def files(**options) -> DataFrame:
+        reader = spark.read.format("binaryFile").options(recursiveFileLookup="true", **options)
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
+        return reader.load(folder).where(F.col("length") >= min_kb * 1024)
+
+    listed = files().select("path", "length")
+    content = files(ignoreCorruptFiles="true").where(F.col("length") <= largest)
+    prints = content.select("path", F.md5("content").alias("fingerprint"))
+    state = (
+        F.when(F.col("fingerprint").isNotNull(), "ok")
+        .when(F.col("length") > largest, "too large")
+        .otherwise("unreadable")
+    )
+    return listed.join(prints, "path", "left").withColumn("state", state)
 
 
 def read_cidr_blocks(spark: SparkSession, path: str) -> DataFrame:

@@ -129,6 +129,46 @@ def test_fuzzy_join_equals_brute_force(spark):
     assert got == want and got[1000] == ("kailahun", 1)
 
 
+def test_distance_is_exact_up_to_its_limit(spark):
+    rng = random.Random(7)
+    words = ["", "a", "ab", "ba", "\u00e9\U0001f600b", "b\x00"]
+    words += ["".join(rng.choice("abc") for _ in range(rng.randrange(12))) for _ in range(40)]
+    pairs = [(a, b) for a in words for b in words] + [("x" * 3000 + "ab", "x" * 3000 + "ba")]
+    df = spark.createDataFrame(pairs, "a STRING, b STRING").repartition(3)
+    for limit in (0, 1, 2, 3):
+        got = df.select("a", "b", joins.swap_aware_distance(limit)("a", "b").alias("d")).collect()
+        assert all(r.d == min(limit + 1, osa(r.a, r.b) if len(r.a) < 100 else 1) for r in got)
+
+
+def test_long_names_that_share_most_pieces(spark):
+    stem = "university hospital of the northern district, department of tropical medicine, ward "
+    left = [(i, "A", f"{stem}{i:04d}x") for i in range(300)]
+    right = [("A", f"{stem}{i:04d}", i) for i in range(0, 300, 3)] + [(None, "n", 1)]
+    ldf = spark.createDataFrame(left + [(900, None, "n")], "id INT, country STRING, district STRING")
+    rdf = spark.createDataFrame(right, "country STRING, name STRING, ord INT")
+    got = {r.id: (r.matched, r.distance) for r in joins.fuzzy_join(ldf, rdf, "district", "name", "country", "ord").collect()}
+    for i, _, s in left:
+        near = min((osa(s[-6:], t[-5:]), o, t) for _, t, o in right[:-1])
+        assert got.get(i) == ((near[2], near[0]) if near[0] <= 2 else None)
+    assert 900 not in got
+
+
+def test_geo_ip_of_large_tables_and_one_frequent_address(spark):
+    blocks = spark.createDataFrame(
+        [("AA", "0.0.0.0/0"), ("BB", "9.0.0.0/8"), ("CC", "9.1.0.0/16"), ("CB", "9.1.0.0/16"), ("DD", "9.1.2.3/32")],
+        "country STRING, cidr STRING",
+    )
+    rows = [(i, "9.1.2.3") for i in range(300)] + [(1000 + i, None) for i in range(400)]
+    rows += [(2000 + i, f"9.{i % 3}.2.{i}") for i in range(200)] + [(3000, "x"), (3001, "255.255.255.255")]
+    df = spark.createDataFrame(rows, "id INT, ip STRING")
+    kept = {r.id: r.country for r in joins.geo_ip(df, "ip", blocks).collect()}
+    dealt = joins.geo_ip(df, "ip", blocks, broadcast_blocks=0)
+    assert {r.id: r.country for r in dealt.collect()} == kept and dealt.count() == len(rows)
+    assert kept[0] == "DD" and kept[1000] is None and kept[2001] == "CB" and kept[2002] == "BB" and kept[3001] == "AA"
+    none = joins.geo_ip(df, "ip", blocks.where("false"))
+    assert none.where("country IS NOT NULL").count() == 0 and none.count() == len(rows)
+
+
 def test_geo_ip(spark):
     blocks = spark.createDataFrame(
         [("AU", "1.0.0.0/24"), ("CN", "1.0.0.0/8"), ("SG", "10.1.255.7/15"), ("XX", "bad")],

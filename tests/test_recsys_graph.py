@@ -145,6 +145,13 @@ def test_paths_of_a_cycle_and_duplicates(spark):
     assert len(paths(spark, [("a", "b"), ("b", "a")], 5)) == 4
 
 
+def test_paths_through_a_page_that_many_reach_late(spark):
+    # few edges lead to "h", but nearly all paths of two edges end there
+    edges = [(f"s{i}", "m") for i in range(40)] + [("m", "h"), ("h", "m"), ("h", "z")]
+    for n in (2, 3, 5):
+        assert paths(spark, edges, n) == brute_paths(edges, n)
+
+
 def test_graph(spark):
     df = spark.createDataFrame([("a", "b"), ("b", "a"), ("a", "b")], "src STRING, dst STRING")
     nodes, edges = graph.build_graph(df)

@@ -111,6 +111,13 @@ def test_inventory_and_work_list(spark, tmp_path):
     (tmp_path / "c.txt").write_bytes(b"z" * 4096)
     rows = readers.file_inventory(spark, str(tmp_path), "*.jpg", min_kb=1).collect()
     assert [(r.length, r.fingerprint) for r in rows] == [(2048, hashlib.md5(b"x" * 2048).hexdigest())]
+    (tmp_path / "d.jpg").write_bytes(b"q" * 3000)
+    (tmp_path / ".d.jpg.crc").write_bytes(b"crc\x00\x00\x00\x02\x00" + b"\x01" * 24)
+    (tmp_path / "e.jpg").write_bytes(b"e" * 9000)
+    rows = readers.file_inventory(spark, str(tmp_path), "*.jpg", min_kb=1, largest=8000).collect()
+    assert {(r.path[-5:], r.length, r.fingerprint is None, r.state) for r in rows} == {
+        ("a.jpg", 2048, False, "ok"), ("d.jpg", 3000, True, "unreadable"), ("e.jpg", 9000, True, "too large"),
+    }
     (tmp_path / "w.tsv").write_text("ImageURL\tSize\tn\nu1\t\t1\nu2\t9 x 9\t2\nu1\t\t3\n")
     todo = readers.read_work_list(spark, str(tmp_path / "w.tsv"), "ImageURL STRING, Size STRING, n INT")
     assert [(r.ImageURL, r.n) for r in todo.collect()] == [("u1", 3)]
