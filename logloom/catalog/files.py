@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,35 @@ def sensor_csv(t: Tables) -> DataFrame:
     return timeseries.hourly_totals(rows, "Timestamp", "SensorID", "Reading")
 
 
+@query(
+    "repeated_headers",
+    """
+    SELECT 'S' || user_id % 50 AS sensor, count(*) AS readings, count(*) FILTER (event_id % 11 = 0) AS without_time
+    FROM events GROUP BY 1
+    """,
+)
+def repeated_headers(t: Tables) -> DataFrame:
+    """Files glued together: the header is met again in the middle, with blanks around it."""
+    path = _fresh(t, "glued")
+    time = F.when(F.col("event_id") % 11 == 0, "").otherwise(F.date_format("ts", "M/d/yyyy H:mm:ss"))
+    line = F.concat(time, F.lit(", S"), (F.col("user_id") % 50).cast("string"), F.lit(" ,"), F.col("value").cast("string"))
+    lines = F.when(F.col("event_id") % 40 == 0, F.array(F.lit("Timestamp, SensorID , Reading"), line)).otherwise(F.array(line))
+    # every file begins with the header of its own
+    rows = t.events.select(F.explode(lines).alias("value"))
+    titled = rows.mapInPandas(_with_header, "value STRING")
+    titled.write.text(path)
+    readings_read = readers.read_sensor_csv(t.spark, path)
+    return readings_read.groupBy(F.col("SensorID").alias("sensor")).agg(
+        F.count(F.lit(1)).alias("readings"), F.count_if(F.col("Timestamp").isNull() | (F.col("Timestamp") == "")).alias("without_time")
+    )
+
+
+def _with_header(batches):
+    header = pd.DataFrame({"value": ["Timestamp,SensorID,Reading"]})
+    yield header
+    yield from batches
+
+
 @query(
     "line_word_count",
     r"""
@@ -297,6 +327,30 @@ def _blogs(t: Tables) -> DataFrame:
     return turns.select("conv_id", F.concat(F.lit("<Blog>"), body, extra, F.lit("</Blog>")).alias("value"))
 
 
+@query(
+    "author_files",
+    """
+    SELECT count(DISTINCT c_custkey // 50) AS files, count(DISTINCT CASE WHEN c_custkey // 50 % 9 = 0 THEN c_custkey // 50 END) AS failed,
+      count(*) FILTER (c_custkey // 50 % 9 <> 0) AS posts
+    FROM customer
+    """,
+)
+def author_files(t: Tables) -> DataFrame:
+    """Author files read from a folder: how many, how many of them broken, and the posts of the others."""
+    path = _fresh(t, "blogs")
+    part = F.floor(F.col("c_custkey") / 50)
+    post = F.concat(F.lit("<date>1,May,2004</date><post>"), _xml(F.col("c_name")), F.lit("</post>"))
+    bodies = t.customer.groupBy(part.alias("part")).agg(F.array_join(F.collect_list(post), "\n").alias("posts"))
+    # a broken file: its last element is not closed
+    tail = F.when(F.col("part") % 9 == 0, "<post>cut</Blog>").otherwise("</Blog>")
+    blogs = bodies.select("part", F.concat(F.lit("<Blog>"), "posts", tail).alias("value"))
+    blogs.repartition("part").write.partitionBy("part").text(path)
+    authors = readers.read_author_files(t.spark, path)
+    posts = readers.explode_posts(authors.where(~F.col("corrupt"))).agg(F.count(F.lit(1)).alias("posts"))
+    # one row each
+    return readers.read_summary(authors).crossJoin(posts)
+
+
 @query(
     "author_posts",
     r"""
@@ -336,6 +390,43 @@ def file_inventory(t: Tables) -> DataFrame:
     return readers.file_inventory(t.spark, t.folder, "*.parquet")
 
 
+def _page_folders(t: Tables) -> str:
+    # one file per hundred pages, its lines in the order of page_id
+    path = _fresh(t, "pages")
+    rows = t.pages.select("page_id", F.floor(F.col("page_id") / 100).alias("part"), F.concat_ws("", "html").alias("value"))
+    ordered = rows.repartition("part").sortWithinPartitions("part", "page_id").select("part", "value")
+    ordered.write.partitionBy("part").text(path)
+    return path
+
+
+PAGE_FILES_SQL = """
+WITH files AS (
+  SELECT page_id // 100 AS part, string_agg(coalesce(html, '') || chr(10), '' ORDER BY page_id) AS body FROM pages GROUP BY 1
+)
+"""
+
+
+@query(
+    "page_file_inventory",
+    PAGE_FILES_SQL + "SELECT part, CAST(strlen(body) AS BIGINT) AS length, md5(body) AS fingerprint, 'ok' AS state FROM files",
+)
+def page_file_inventory(t: Tables) -> DataFrame:
+    """Length and fingerprint of files written from the pages."""
+    files = readers.file_inventory(t.spark, _page_folders(t), "*.txt")
+    part = F.regexp_extract("path", r"part=(\d+)", 1).cast("bigint")
+    return files.select(part.alias("part"), "length", "fingerprint", "state")
+
+
+@query(
+    "least_file_size",
+    PAGE_FILES_SQL + "SELECT part, CAST(strlen(body) AS BIGINT) AS length FROM files WHERE strlen(body) >= 64 * 1024",
+)
+def least_file_size(t: Tables) -> DataFrame:
+    """Files of 64 KB and more; no content is read."""
+    files = cleaning.min_size(readers.file_inventory(t.spark, _page_folders(t), "*.txt"), 64)
+    return files.select(F.regexp_extract("path", r"part=(\d+)", 1).cast("bigint").alias("part"), "length")
+
+
 @query(
     "table_to_text",
     "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1",

@@ -302,6 +302,68 @@ def geo_ip(t: Tables) -> DataFrame:
     return joins.geo_ip(t.events.select("event_id", ip.alias("ip")), "ip", _blocks(t))
 
 
+@query(
+    "geo_ip_logins",
+    """
+    WITH ips AS (
+      SELECT event_id, CASE WHEN event_id % 5 IN (1, 3) THEN NULL WHEN event_id % 5 = 2 THEN '10.16.1.9'
+        ELSE '10.' || (event_id * 37) % 256 || '.' || user_id % 3 || '.9' END AS ip FROM events
+    ), parts AS (
+      SELECT *, CAST(string_split(ip, '.')[2] AS INT) AS b, CAST(string_split(ip, '.')[3] AS INT) AS c FROM ips
+    )
+    SELECT event_id, ip, CASE WHEN b % 8 = 0 AND c = 1 THEN n_name || '-B' ELSE n_name END AS country
+    FROM parts LEFT JOIN nation ON n_nationkey = b // 8
+    """,
+)
+def geo_ip_logins(t: Tables) -> DataFrame:
+    """Two fifths of the addresses missing, one fifth the same, block table dealt instead of broadcast."""
+    drawn = F.concat_ws(
+        ".", F.lit("10"), (F.col("event_id") * 37 % 256).cast("string"), (F.col("user_id") % 3).cast("string"), F.lit("9")
+    )
+    kind = F.col("event_id") % 5
+    ip = F.when(kind == 2, "10.16.1.9").when(kind.isin(0, 4), drawn)
+    return joins.geo_ip(t.events.select("event_id", ip.alias("ip")), "ip", _blocks(t), broadcast_blocks=0)
+
+
+@query(
+    "outbreak_areas",
+    """
+    WITH alerts AS (
+      SELECT o_custkey % 25 AS n, o_orderkey % 4 AS kind, count(*) AS alerts, max(o_orderdate) AS latest FROM orders GROUP BY ALL
+    ), areas AS (
+      SELECT n_nationkey AS n, n_name AS country, CASE WHEN n_nationkey % 2 = 0 THEN 2 ELSE 1 END AS level FROM nation
+    )
+    SELECT country, CASE WHEN level = 2 THEN country || ' DISTRICT' ELSE country || ' REGION' END AS area,
+      CAST(sum(alerts) AS BIGINT) AS alerts, strftime(max(latest), '%d %b %Y') AS latest
+    FROM alerts JOIN areas USING (n) WHERE kind <> 3 GROUP BY ALL
+    """,
+)
+def outbreak_areas(t: Tables) -> DataFrame:
+    """Alerts by area: level per country, gazetteer name at that level, nearest spelling within two edits."""
+    nations = t.nation.select(
+        F.col("n_nationkey"), F.col("n_name").alias("Country"),
+        F.when(F.col("n_nationkey") % 2 == 0, 2).otherwise(1).alias("ADM_Level"),
+        F.concat("n_name", F.lit(" REGION")).alias("ADM1"), F.concat("n_name", F.lit(" DISTRICT")).alias("ADM2"),
+    )
+    gazetteer = nations.select(
+        "Country", joins.area_name(F.col("ADM_Level"), F.col("ADM1"), F.col("ADM2")).alias("area"), F.col("n_nationkey").alias("ord")
+    )
+    kind = F.col("o_orderkey") % 4
+    area = joins.area_name(F.col("ADM_Level"), F.col("ADM1"), F.col("ADM2"))
+    written = (
+        F.when(kind == 0, area)
+        .when(kind == 1, F.concat(F.lit("x"), area))
+        .when(kind == 2, F.concat(F.substr(area, F.lit(1), F.length(area) - 2), F.lit("o")))
+        .otherwise(F.concat(F.lit("far off "), area))
+    )
+    orders = t.orders.select("o_orderkey", "o_orderdate", (F.col("o_custkey") % 25).alias("n_nationkey"))
+    alerts = orders.join(nations, "n_nationkey").select("Country", written.alias("District"), "o_orderdate")
+    found = joins.fuzzy_join(alerts, gazetteer, "District", "area", "Country", "ord")
+    return found.groupBy(F.col("Country").alias("country"), F.col("matched").alias("area")).agg(
+        F.count(F.lit(1)).alias("alerts"), F.date_format(F.max("o_orderdate"), "dd MMM yyyy").alias("latest")
+    )
+
+
 # --- tags, keys, pages ---
 
 COLOURS = ["red", "small", "widget", "ring"]
@@ -416,6 +478,54 @@ def page_fields(t: Tables) -> DataFrame:
     return html.extract_fields(t.spread("pages"), rules).select("page_id", "url", "title", "headline", "lang")
 
 
+@query(
+    "alert_list",
+    """
+    SELECT p_brand AS country, strftime(DATE '2014-01-01' + CAST(p_partkey % 300 AS INT), '%-d %B %Y') AS "Date",
+      'http://who.example/csr/' || p_partkey AS "URL", p_name || ', update' AS "Headline"
+    FROM part WHERE p_partkey % 7 <> 0
+    """,
+)
+def alert_list(t: Tables) -> DataFrame:
+    """Alerts read from one list page per brand; items without a link are none."""
+    day = F.date_format(F.date_add(F.lit("2014-01-01").cast("date"), (F.col("p_partkey") % 300).cast("int")), "d MMMM yyyy")
+    link = F.format_string('<li class="n"><a class="d" href="/csr/%d">%s</a> <span>%s, <b>update</b></span></li>', "p_partkey", day, "p_name")
+    item = F.when(F.col("p_partkey") % 7 == 0, F.concat(F.lit("<li>"), "p_name", F.lit("</li>"))).otherwise(link)
+    # some fifty items a page, as list pages have
+    lists = t.part.groupBy("p_brand", F.floor(F.col("p_partkey") / 1000).alias("page")).agg(F.collect_list(item).alias("items"))
+    pages = lists.select("p_brand", F.concat(F.lit("<ul>"), F.array_join("items", "\n"), F.lit("</ul>")).alias("html"))
+    found = html.extract_alerts(pages, "http://who.example")
+    part = t.part.select(
+        F.concat(F.lit("http://who.example/csr/"), F.col("p_partkey").cast("string")).alias("URL"), F.col("p_brand").alias("country")
+    )
+    return found.join(part, "URL").select("country", "Date", "URL", "Headline")
+
+
+@query(
+    "photo_pages",
+    """
+    SELECT 'http://p.example/' || p_partkey AS "PageURL", 'http://i.example/' || p_partkey || '.jpg' AS "ImageURL",
+      CASE WHEN p_partkey % 5 <> 0 THEN p_type END AS "AircraftModel", CASE WHEN p_partkey % 3 <> 0 THEN p_brand END AS "Airline",
+      p_name AS "Photographer", '' AS "Size", 'No' AS "Permission"
+    FROM part
+    """,
+)
+def photo_pages(t: Tables) -> DataFrame:
+    """The fields of one photo page per part; some pages lack the model or the airline."""
+    key = F.col("p_partkey").cast("string")
+
+    def paragraph(label: str, value: str, every: int):
+        said = F.concat(F.lit(f"<p class='a'>{label}: "), F.col(value), F.lit("</p>"))
+        return F.when(F.col("p_partkey") % every != 0, said).otherwise("")
+
+    page = F.concat(
+        F.lit('<img src="/logo.png"><img alt="x" class="main-image" src="http://i.example/'), key, F.lit('.jpg">'),
+        F.lit('<section class="additional-info aircraft">'), paragraph("Aircraft", "p_type", 5), paragraph("Airline", "p_brand", 3),
+        F.lit('</section><section class="additional-info photographer"><h2>By</h2><p> <a href="/u">'), "p_name", F.lit("</a> </p></section>"),
+    )
+    return html.extract_photo_fields(t.part.select(F.concat(F.lit("http://p.example/"), key).alias("url"), page.alias("html")))
+
+
 @query(
     "single_detection",
     """
@@ -545,6 +655,41 @@ def path_enumeration(t: Tables) -> DataFrame:
     return paths.select(F.array_join("path", ">").alias("path"), "length")
 
 
+@query(
+    "path_cycles",
+    """
+    WITH RECURSIVE nodes AS (
+      SELECT p_partkey AS k, p_partkey // 400 * 400 AS b, p_partkey % 400 AS r FROM part
+    ), edges AS (
+      SELECT CAST(b + r AS VARCHAR) AS src, CAST(b + (r + 1 + k % 3 * 7) % 400 AS VARCHAR) AS dst FROM nodes
+      UNION SELECT CAST(b + r AS VARCHAR), CAST(b + (r + 11) % 400 AS VARCHAR) FROM nodes WHERE k % 2 = 0
+      UNION SELECT CAST(b + (r + 1 + k % 3 * 7) % 400 AS VARCHAR), CAST(b + r AS VARCHAR) FROM nodes WHERE k % 5 = 0
+    ), walk AS (
+      SELECT src || '>' || dst AS path, dst AS tail, 1 AS length, [src || '>' || dst] AS used FROM edges
+      UNION ALL
+      SELECT path || '>' || dst, dst, length + 1, list_append(used, src || '>' || dst) FROM walk JOIN edges ON tail = src
+      WHERE length < 5 AND NOT list_contains(used, src || '>' || dst)
+    )
+    SELECT path, length FROM walk
+    """,
+)
+def path_cycles(t: Tables) -> DataFrame:
+    """Paths of a graph with rings and back links: no path uses an edge twice."""
+    key = F.col("p_partkey")
+
+    def in_ring(step):
+        return F.floor(key / 400) * 400 + (key + step) % 400
+
+    here, there, aside = (in_ring(step).cast("string") for step in (F.lit(0), 1 + key % 3 * 7, F.lit(11)))
+    edges = (
+        t.part.select(here.alias("src"), there.alias("dst"))
+        .unionByName(t.part.where(key % 2 == 0).select(here.alias("src"), aside.alias("dst")))
+        .unionByName(t.part.where(key % 5 == 0).select(there.alias("src"), here.alias("dst")))
+    )
+    paths = graph.enumerate_paths(edges, max_len=5)
+    return paths.select(F.array_join("path", ">").alias("path"), "length")
+
+
 @query(
     "graph_nodes",
     """

@@ -46,19 +46,36 @@ def term_frequencies(df: DataFrame, tokens: str) -> DataFrame:
     )
 
 
+#: Entries up to which a dictionary of tokens is broadcast (some 20 MB).
+BROADCAST_ENTRIES = 300_000
+
+
 def replace_tokens(
-    df: DataFrame, key: str, tokens: str, dictionary: DataFrame, words: bool = False
+    df: DataFrame,
+    key: str,
+    tokens: str,
+    dictionary: DataFrame,
+    words: bool = False,
+    broadcast_entries: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
     """(key, tokens) with every token found in ``dictionary(token, value)`` replaced.
 
-    ``key`` must identify a row. Spark broadcasts the dictionary when its
-    measured size allows and splits hot tokens of a shuffled join otherwise.
+    ``key`` must identify a row. A dictionary of up to ``broadcast_entries`` is
+    broadcast; beyond that the tokens are dealt, frequent ones salted by their count,
+    and rows without a token pass by the join.
     With ``words`` a value of several words becomes several tokens. Of several
     values for a token the smallest counts.
     """
     known = dictionary.groupBy(F.col("token").alias("_t")).agg(F.min("value").alias("_v"))
     rows = df.select(key, F.posexplode_outer(tokens).alias("_p", "_t"))
-    found = rows.join(known, "_t", "left").withColumn("_w", F.coalesce("_v", "_t"))
+    if known.limit(broadcast_entries + 1).count() <= broadcast_entries:
+        found = rows.join(F.broadcast(known), "_t", "left")
+    else:
+        filled = rows.where(F.col("_t").isNotNull())
+        hot = hot_keys(filled.groupBy("_t").agg(F.count(F.lit(1)).alias("_n")), "_t", "_n")
+        empty = rows.where(F.col("_t").isNull()).withColumn("_v", F.lit(None).cast("string"))
+        found = salted_join(filled, known, "_t", hot, F.struct(key, "_p"), "left").unionByName(empty)
+    found = found.withColumn("_w", F.coalesce("_v", "_t"))
     placed = F.when(F.col("_w").isNotNull(), F.struct("_p", "_w"))
     out = found.groupBy(key).agg(F.array_sort(F.collect_list(placed)).alias("_a"))
     column = F.transform("_a", lambda s: s["_w"])

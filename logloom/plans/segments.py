@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logloom.session import cut_lineage
+
 # ``_segment`` is one struct column: struct equality treats null fields as
 # equal, and one column lets the window and the join share a single shuffle.
 
@@ -29,9 +31,26 @@ def _segment_window(n_keys: int, n_buckets: int) -> Window:
     return Window.partitionBy(*keys).orderBy(*order)
 
 
+def _global_offsets(counts: DataFrame, n_buckets: int) -> DataFrame:
+    # Two levels: sums inside ranges of segments, and the totals of the ranges,
+    # one row per partition. The ranges are checkpointed, as a range partitioning
+    # that ran again could number its partitions otherwise.
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(f"_segment.b{i}").asc_nulls_first() for i in range(n_buckets)]
+    ranged = cut_lineage(counts.repartitionByRange(partitions, *order).withColumn("_range", F.spark_partition_id()))
+    totals = ranged.groupBy("_range").agg(F.sum("_n").alias("_total"))
+    ranges_before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("_range", F.coalesce(F.sum("_total").over(ranges_before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    return summed.join(F.broadcast(starts), "_range").select("_segment", (F.col("_start") + F.col("_inside")).alias("_before"))
+
+
 def _offsets(tagged: DataFrame, n_keys: int, n_buckets: int) -> DataFrame:
-    earlier = _segment_window(n_keys, n_buckets).rowsBetween(Window.unboundedPreceding, -1)
     counts = tagged.groupBy("_segment").agg(F.count(F.lit(1)).alias("_n"))
+    if n_keys == 0:
+        return _global_offsets(counts, n_buckets)
+    earlier = _segment_window(n_keys, n_buckets).rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(
         "_segment", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )

@@ -167,7 +167,8 @@ def read_author_files(spark: SparkSession, path: str) -> DataFrame:
         .option("ignoreSurroundingSpaces", "true")
         .load(path)
         .withColumn("file", F.col("_metadata.file_path"))
-        .withColumn("corrupt", F.col("_corrupt_record").isNotNull())
+        # Spark refuses to scan the error column alone, so the marker names another one (no list is that long)
+        .withColumn("corrupt", F.col("_corrupt_record").isNotNull() | F.coalesce(F.size("post") > 2_000_000_000, F.lit(False)))
     )
     return with_filename_attributes(blogs).select(
         "file", *AUTHOR_ATTRIBUTES, "date", "post", "corrupt"

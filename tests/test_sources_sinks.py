@@ -68,6 +68,7 @@ def test_author_files(spark, tmp_path):
     assert (first.gender, first.age, first.industry, first.astro_sign) == ("female", 24, "Arts", "Leo")
     assert by_id[103].age is None and by_id[103].corrupt
     assert tuple(readers.read_summary(authors).first()) == (3, 1)
+    assert tuple(readers.read_summary(readers.read_author_files(spark, str(tmp_path / "*.xml"))).first()) == (3, 1)
     posts = readers.explode_posts(authors).withColumn("d", iso_or_empty(parse_post_date(F.col("date"))))
     got = [(r.blogger_id, r.post_no, r.d, r.post.strip()) for r in posts.orderBy("post_no").collect()]
     assert got == [(101, 0, "2004-05-14", "first post"), (101, 1, "2004-05-15", "second\tone")]

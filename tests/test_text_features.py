@@ -201,3 +201,15 @@ def test_number_rows_equals_window(spark):
 def test_terms_on_arrays(docs):
     out = docs.select(terms(F.col("text")).alias("t"), vocabulary_words(F.col("text")).alias("v"))
     assert all(r.t == r.v for r in out.collect())
+
+
+def test_dealt_dictionary_equals_the_broadcast_one(spark):
+    rows = [(i, ["the", "ran", f"w{i}"] * (1 + i % 3)) for i in range(200)] + [(900, []), (901, None), (902, [None, "ran"])]
+    df = spark.createDataFrame(rows, "doc INT, tokens ARRAY<STRING>")
+    entries = spark.createDataFrame([("the", "THE"), ("ran", "run on"), ("w5", "five"), ("w5", "a five")], "token STRING, value STRING")
+    for words in (False, True):
+        kept = text.replace_tokens(df, "doc", "tokens", entries, words)
+        dealt = text.replace_tokens(df, "doc", "tokens", entries, words, broadcast_entries=0)
+        assert sorted(kept.collect()) == sorted(dealt.collect()) and dealt.count() == len(rows)
+    found = {r.doc: r.tokens for r in kept.collect()}
+    assert found[5][:5] == ["THE", "run", "on", "a", "five"] and found[900] == []

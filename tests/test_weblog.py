@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from logloom.operators import timeseries, weblog
 from logloom.operators.aggregates import error_counts
-from logloom.plans.segments import refine
+from logloom.plans.segments import number_rows, refine
 from logloom.sources import readers
 
 AGENTS = ["Mobile (A; B)", "Windows (C)"]
@@ -170,3 +170,13 @@ def test_one_crowded_hour_is_cut_at_seconds(spark):
     assert sorted(map(tuple, linked.collect())) == sorted(map(tuple, plain.collect()))
     cut = refine(rows, ["visitor"], [F.date_trunc("hour", "ts")], F.minute("ts") * 60 + F.second("ts"), "second", 100)
     assert cut.groupBy("second").count().agg(F.max("count")).first()[0] == 2
+
+
+def test_numbers_over_a_whole_table(spark):
+    """Null buckets first, one bucket with a third of the rows, more buckets than partitions."""
+    score = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 97 != 0, (F.col("id") * 31) % 200)
+    rows = spark.range(3000).select("id", score.alias("score")).repartition(5)
+    got = number_rows(rows, [], [F.col("score")], [F.col("score").asc_nulls_first(), F.col("id")]).collect()
+    plain = sorted(got, key=lambda r: (r.score is not None, r.score or 0, r.id))
+    assert [r.pos for r in plain] == list(range(1, 3001))
+    assert number_rows(rows.where("false"), [], [F.col("score")], [F.col("score"), F.col("id")]).count() == 0
