@@ -18,7 +18,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
 from itertools import combinations
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm.components import connected_components
 from logloom.llm.words import shingle_set
-from logloom.session import cut_lineage
+from logloom.session import cut_lineage, work_dir
 
 #: Shingle-by-hash cells computed at once, so that long texts need bounded memory.
 CELLS = 1 << 21
@@ -112,38 +111,33 @@ def _distance(left: str, right: str) -> Column:
     return F.size(F.filter(F.arrays_zip(F.col(left).alias("a"), F.col(right).alias("b")), lambda p: p["a"] != p["b"]))
 
 
-@dataclass(frozen=True)
-class _Texts:
-    """Where the full sets of classes come from: the texts, and which document stands for which class."""
+def _class_texts(docs: DataFrame, classes: DataFrame, buckets: DataFrame, folder: str) -> DataFrame:
+    """``(rep, text)``: one text of every class that shares a key, written once.
 
-    texts: DataFrame
-    named: DataFrame  # (rep, id, text_hash, repeated)
-    shingle: int
+    All texts are shuffled here and nowhere else; the sets of the classes that are
+    compared come from this table. Rows that repeat an id and its text are one.
+    """
+    named = classes.select("rep", "id", "text_hash").join(buckets.select("rep").distinct(), "rep", "left_semi")
+    found = docs.join(named, ["id", "text_hash"]).groupBy("rep").agg(F.first("text").alias("text"))
+    found.write.parquet(folder)
+    return docs.sparkSession.read.parquet(folder)
 
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """``(rep, members)``: the full shingle sets of the classes ``wanted(rep)``, one row each."""
-        size = self.shingle
 
-        def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                sets = [shingle_set(text, size).view(np.int64) for text in batch["text"]]
-                yield pd.DataFrame({"rep": batch["rep"], "members": sets})
+def _sets(texts: DataFrame, wanted: DataFrame, how: NearDedup) -> DataFrame:
+    """``(rep, members)``: the full shingle sets of the classes ``wanted(rep)``, one row each."""
+    size = how.shingle
 
-        named = wanted.join(self.named, "rep")
-        found = self.texts.join(named, ["id", "text_hash"]).select("rep", "text", "repeated")
-        # rows that repeat an id and its text would come more than once
-        again = found.where("repeated").groupBy("rep").agg(F.first("text").alias("text"))
-        rows = found.where("not repeated").select("rep", "text").union(again) if self.repeats else found.select("rep", "text")
-        return rows.mapInPandas(to_sets, "rep long, members array<bigint>")
+    def to_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_set(text, size).view(np.int64) for text in batch["text"]]
+            yield pd.DataFrame({"rep": batch["rep"], "members": sets})
 
-    @cached_property
-    def repeats(self) -> bool:
-        return not self.named.where("repeated").isEmpty()
+    return texts.join(wanted, "rep", "left_semi").mapInPandas(to_sets, "rep long, members array<bigint>")
 
 
-def _confirm(pairs: DataFrame, texts: _Texts, how: NearDedup) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, how: NearDedup) -> DataFrame:
     """``pairs(a, b)`` with ``linked``, decided on the full shingle sets."""
-    sets = texts.sets(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct())
+    sets = _sets(texts, pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), how)
     with_a = pairs.join(sets.withColumnsRenamed({"rep": "a", "members": "of_a"}), "a")
     with_both = with_a.join(sets.withColumnsRenamed({"rep": "b", "members": "of_b"}), "b")
     shared = F.size(F.array_intersect("of_a", "of_b"))
@@ -154,35 +148,37 @@ def _confirm(pairs: DataFrame, texts: _Texts, how: NearDedup) -> DataFrame:
     )
 
 
-def _hub_labels(buckets: DataFrame, links: DataFrame) -> DataFrame:
-    """``(rep, component)`` after two steps along the hub links.
+def _hub_pairs(buckets: DataFrame) -> DataFrame:
+    """At most one pair per class: with the hub of the keys it shares most."""
+    met = buckets.where("rep <> hub").groupBy(F.col("rep").alias("a"), F.col("hub").alias("b")).count()
+    return met.groupBy("a").agg(F.max_by("b", F.struct("count", -F.col("b"))).alias("b"))
+
+
+def _other_hubs(buckets: DataFrame, links: DataFrame, turn: int) -> DataFrame:
+    """Buckets of a later turn: hubs drawn anew, without the classes linked before."""
+    hubs = buckets.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("hub"))
+    open_rows = buckets.select("key", "rep").join(links.select(F.col("a").alias("rep")), "rep", "left_anti")
+    return open_rows.join(hubs, "key")
+
+
+def _hub_labels(links: DataFrame) -> DataFrame:
+    """``(rep, component)`` of the linked classes after two steps along the hub links, of which each class has one.
 
     Classes of one label are connected; connected classes may still differ in it,
     which costs a test but loses nothing.
     """
-    tied = links.groupBy("a").agg(F.min("b").alias("b"))
-    labels = buckets.select("rep").distinct().join(tied.withColumnRenamed("a", "rep"), "rep", "left")
-    labels = labels.select("rep", F.coalesce("b", "rep").alias("component"))
-    onward = tied.select(F.col("a").alias("component"), F.col("b").alias("_to"))
-    labels = labels.join(onward, "component", "left")
-    return cut_lineage(labels.select("rep", F.coalesce("_to", "component").alias("component")))
-
+    onward = links.select(F.col("a").alias("b"), F.col("b").alias("_to"))
+    return cut_lineage(links.join(onward, "b", "left").select(F.col("a").alias("rep"), F.coalesce("_to", "b").alias("component")))
 
-def _hub_pairs(buckets: DataFrame, hubs_of: DataFrame | None, turn: int) -> DataFrame:
-    """At most one pair per class: with the hub of the keys it shares most.
 
-    In later turns hubs are drawn anew and classes linked before are left out.
-    """
-    order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-    open_rows = buckets if hubs_of is None else buckets.join(hubs_of.select(F.col("a").alias("rep")), "rep", "left_anti")
-    hubs = buckets.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep")).alias("hub"))
-    met = open_rows.join(hubs, "key").where("rep <> hub.rep").groupBy(F.col("rep").alias("a"), F.col("hub.rep").alias("b")).count()
-    return met.groupBy("a").agg(F.max_by("b", F.struct("count", -F.col("b"))).alias("b"))
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows(rep, ..)`` with ``component``: a class without a link is its own."""
+    return rows.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
 def _open_rows(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """``(key, rep, component, largest, n)`` of the keys that span several components."""
-    tagged = buckets.join(labels, "rep")
+    tagged = _labelled(buckets.select("key", "rep"), labels)
     sizes = tagged.groupBy("key", "component").count()
     keys = sizes.groupBy("key").agg(
         F.max_by("component", F.struct("count", "component")).alias("largest"),
@@ -204,26 +200,25 @@ def _crowds(rows: DataFrame, how: NearDedup) -> DataFrame:
     )
 
 
-def _rest_pairs(rows: DataFrame, crowds: DataFrame, signatures: DataFrame, how: NearDedup) -> DataFrame:
-    """Every pair of unconnected classes under one key and the distance, once each.
+def _rest_pairs(rows: DataFrame, crowds: DataFrame, signatures: DataFrame, done: DataFrame, how: NearDedup) -> DataFrame:
+    """Every pair of unconnected classes under one key that is not ``done(a, b)``, within the distance, once each.
 
     Of two classes in different components one at least is outside the largest
     component of their key, so only these few rows meet the rows of the key,
     of which there are at most ``tile_from``. Pairs inside a crowd are left out.
+    Pairs are numbers alone until each is there once; then the signatures join.
     """
-    few_classes = rows.where(F.col("n") <= how.tile_from).join(crowds, "rep", "left")
-    full = few_classes.join(signatures.select("rep", "sig", _keys(how).alias("keys")), "rep")
-    outside = full.where("component <> largest").select(
-        "key", *(F.col(c).alias(f"{c}_a") for c in ("rep", "component", "crowd", "sig", "keys"))
-    )
+    full = rows.where(F.col("n") <= how.tile_from).join(crowds, "rep", "left")
+    outside = full.where("component <> largest").select("key", *(F.col(c).alias(f"{c}_a") for c in ("rep", "component", "crowd")))
     # both outside the largest component: the pair would appear from either side
     once = (F.col("component") == F.col("largest")) | (F.col("rep_a") > F.col("rep"))
-    near = _distance("sig_a", "sig") <= max(how.unlike, how.max_distance)
-    first = F.array_min(F.array_intersect("keys_a", "keys")) == F.col("key")
     apart = (F.col("component_a") != F.col("component")) & ~F.coalesce(F.col("crowd_a") == F.col("crowd"), F.lit(False))
-    return outside.join(full, "key").where(apart & once & near & first).select(
-        F.greatest("rep_a", "rep").alias("a"), F.least("rep_a", "rep").alias("b")
-    )
+    pairs = outside.join(full, "key").where(apart & once).select(F.greatest("rep_a", "rep").alias("a"), F.least("rep_a", "rep").alias("b"))
+    known = done.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    pairs = pairs.distinct().join(known, ["a", "b"], "left_anti")
+    for side in "ab":
+        pairs = pairs.join(signatures.select(F.col("rep").alias(side), F.col("sig").alias(f"sig_{side}")), side)
+    return pairs.where(_distance("sig_a", "sig_b") <= max(how.unlike, how.max_distance)).select("a", "b")
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -245,7 +240,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return shared.astype(np.int64)
 
 
-def _crowd_links(crowds: DataFrame, labels: DataFrame, texts: _Texts, how: NearDedup) -> DataFrame:
+def _crowd_links(crowds: DataFrame, labels: DataFrame, texts: DataFrame, how: NearDedup) -> DataFrame:
     """Links between the components of a crowd, tested in tiles of ``tile`` by ``tile`` classes.
 
     Each class outside the largest component of its crowd meets all classes of
@@ -267,7 +262,7 @@ def _crowd_links(crowds: DataFrame, labels: DataFrame, texts: _Texts, how: NearD
         )
         return links.drop_duplicates(["a", "to"])[["a", "b"]]
 
-    members = crowds.join(labels, "rep")
+    members = _labelled(crowds, labels)
     sizes = members.groupBy("crowd", "component").count()
     shape = sizes.groupBy("crowd").agg(
         F.max_by("component", F.struct("count", "component")).alias("largest"),
@@ -275,7 +270,7 @@ def _crowd_links(crowds: DataFrame, labels: DataFrame, texts: _Texts, how: NearD
         F.ceil((F.sum("count") - F.max("count")) / how.tile).cast("int").alias("across"),
     )
     placed = members.join(shape.where("across > 0"), "crowd").withColumn("h", F.abs(F.xxhash64("rep") % (1 << 30)))
-    placed = cut_lineage(placed.join(texts.sets(placed.select("rep").distinct()), "rep"))
+    placed = cut_lineage(placed.join(_sets(texts, placed.select("rep"), how), "rep"))
     names = ["crowd", "i", "j", "rep", "component", "members"]
     across, down = F.explode(F.expr("sequence(0, across - 1)")), F.explode(F.expr("sequence(0, down - 1)"))
     same = ["rep", "component", "members"]
@@ -310,27 +305,23 @@ def near_duplicates(
     number = F.nullif(F.monotonically_increasing_id(), F.lit(-1))
     classes = cut_lineage(classes.select(number.alias("rep"), "digest", "first.id", "first.text_hash", "first.sig"))
     signatures = classes.select("rep", "sig")
-    repeated = with_set.groupBy("id", "text_hash").count().where("count > 1").select("id", "text_hash", F.lit(True).alias("repeated"))
-    named = classes.select("rep", "id", "text_hash").join(repeated, ["id", "text_hash"], "left")
-    texts = _Texts(_texts(docs, id_col, text_col), cut_lineage(named.withColumn("repeated", F.coalesce("repeated", F.lit(False)))), how.shingle)
-
     entries = classes.select("rep", F.explode(_keys(how)).alias("key"))
-    shared = entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-    buckets = cut_lineage(entries.join(shared.select("key"), "key"))
+    shared = entries.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last")
+    buckets = cut_lineage(entries.join(shared.select("key", "hub"), "key"))
 
+    texts = _class_texts(_texts(docs, id_col, text_col), classes, buckets, work_dir(docs.sparkSession, "class-texts"))
     links = done = None
     for turn in range(how.hub_rounds):
-        pairs = cut_lineage(_hub_pairs(buckets, links, turn))
-        tested = cut_lineage(_confirm(pairs, texts, how))
+        met = buckets if turn == 0 else _other_hubs(buckets, links, turn)
+        tested = cut_lineage(_confirm(cut_lineage(_hub_pairs(met)), texts, how))
         linked, tested = tested.where("linked").select("a", "b"), tested.select("a", "b")
-        links, done = (linked, tested) if done is None else (links.union(linked), done.union(tested))
-    labels = _hub_labels(buckets, links)
+        links, done = (linked, tested) if turn == 0 else (links.union(linked), done.union(tested))
+    labels = _hub_labels(links)
 
     rows = _open_rows(buckets, labels)
     crowds = _crowds(rows, how)
     in_crowds = _crowd_links(crowds, labels, texts, how)
-    rest = _rest_pairs(rows, crowds, signatures, how)
-    rest = cut_lineage(rest.join(done.union(done.select("b", "a")), ["a", "b"], "left_anti"))
+    rest = cut_lineage(_rest_pairs(rows, crowds, signatures, done, how))
     rest_links = _confirm(rest, texts, how).where("linked").select("a", "b")
     links = links.union(rest_links).union(in_crowds)
     labels = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
