@@ -157,3 +157,22 @@ def test_graph(spark):
     nodes, edges = graph.build_graph(df)
     assert nodes.count() == 2 and edges.count() == 2
     assert nodes.where(F.col("page") == "a").count() == 1
+
+
+def test_pairs_are_counted_where_their_baskets_are_sent(spark, monkeypatch):
+    """Many tasks and a common item give the same counts, and no row per pair is shuffled."""
+    monkeypatch.setattr(recsys, "TASK_PAIRS", 40)
+    rng = random.Random(6)
+    prefs = sorted({(rng.randrange(30), rng.randrange(25)) for _ in range(150)} | {(b, 7) for b in range(200)} | {(9, i) for i in range(30)})
+    want = {}
+    for b in {b for b, _ in prefs}:
+        for pair in combinations(sorted({i for c, i in prefs if c == b}), 2):
+            want[pair] = want.get(pair, 0) + 1
+    df = spark.createDataFrame(prefs, "base_id LONG, item_id LONG")
+    for size in (4, 1000):
+        found = recsys.cooccurrence(df, block_items=size)
+        rows = found.collect()
+        assert {(r.item_a, r.item_b): r.together for r in rows} == want
+        assert len(rows) == len(want)
+    plan = found._jdf.queryExecution().toString()
+    assert "hashpartitioning(_part" in plan and "hashpartitioning(item_a" not in plan
