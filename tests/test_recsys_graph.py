@@ -176,3 +176,17 @@ def test_pairs_are_counted_where_their_baskets_are_sent(spark, monkeypatch):
         assert len(rows) == len(want)
     plan = found._jdf.queryExecution().toString()
     assert "hashpartitioning(_part" in plan and "hashpartitioning(item_a" not in plan
+
+
+def test_bases_that_share_items_lie_in_one_bucket(spark):
+    """Copies of one model under other ids need as many lists each as the model alone."""
+    rng = random.Random(7)
+    model = sorted({(rng.randrange(40), rng.randrange(12)) for _ in range(200)})
+    found = []
+    for copies in (1, 4):
+        prefs = [(b + 1000 * c, i + 1000 * c) for c in range(copies) for b, i in model]
+        owned = spark.createDataFrame(prefs, "base_id LONG, item_id LONG")
+        places = recsys._places(owned, 60)
+        assert places.groupBy("base_id", "_slice").count().where("count > 1").isEmpty()
+        found.append(owned.join(places, "base_id").select("bucket", "item_id").distinct().count())
+    assert found[1] <= 1.5 * 4 * found[0]
