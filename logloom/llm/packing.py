@@ -54,6 +54,7 @@ class WordEncoder:
         self.ends = {sign: self._ids("a" + sign)[1:].tobytes() for sign in ENDS}
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.firsts: dict[str, bytes] = {}
         self.held = 0
 
     def _ids(self, text: str) -> np.ndarray:
@@ -80,11 +81,16 @@ class WordEncoder:
         """Ids as little-endian unsigned 32-bit integers; none for a null or empty text."""
         if not text:
             return b""
-        if _spaces(text) or len(text) > LONG_TEXT or text[0] == " ":
-            return b"".join(self._ids(part).tobytes() for part in self._slices(text))
+        if len(text) > LONG_TEXT or text[0] == " ":
+            return self._whole(text)
         first, *words = text.split(" ")
+        # the last word may end with other white space: it is not kept, so no word kept ends so
+        last = self._ids(" " + words.pop()).tobytes() if words and (not words[-1] or words[-1][-1].isspace()) else b""
+        if first[-1].isspace() and len(first) < len(text):
+            return self._whole(text)
         if self.held > MEMO_BYTES:  # words met lately move on, the others are forgotten
             self.memo, self.older, self.held = {}, self.memo, 0
+            self.firsts = {}
         new = set(words).difference(self.memo)
         if new:
             older = self.older
@@ -93,12 +99,21 @@ class WordEncoder:
             self.held += 250 * len(again)
             new.difference_update(again)
         if new:
+            if _spaces(" ".join(new) + " "):
+                return self._whole(text)
             stems = {word: word[:-1] for word in new if word[-1:] in ENDS and "A" <= word[-2:-1] <= "ɏ" and word[-2].isalpha()}
             self._learn([*new.difference(stems), *{stem for stem in stems.values() if stem not in self.memo and stem not in new}])
             for word, stem in stems.items():  # a letter and a sign behind it are never in one token
                 self.memo[word] = self.memo[stem] + self.ends[word[-1]]
             self.held += 250 * len(stems)
-        return self._ids(first).tobytes() + b"".join(map(self.memo.__getitem__, words))
+        begin = self.firsts.get(first)
+        if begin is None:
+            begin = self.firsts[first] = self._ids(first).tobytes()
+            self.held += len(begin) + len(first) + 180
+        return begin + b"".join(map(self.memo.__getitem__, words)) + last
+
+    def _whole(self, text: str) -> bytes:
+        return b"".join(self._ids(part).tobytes() for part in self._slices(text))
 
     @staticmethod
     def _slices(text: str) -> Iterator[str]:

@@ -233,6 +233,18 @@ def test_word_encoder_equals_the_tokenizer():
         assert encoder.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
+def test_white_space_is_searched_in_new_words_only(monkeypatch):
+    tokenizer, seen = Tokenizer.from_file(PATH), []
+    with open(PATH, encoding="utf-8") as file:
+        encoder = packing.WordEncoder(file.read())
+    search = packing._spaces
+    monkeypatch.setattr(packing, "_spaces", lambda text: seen.append(len(text)) or search(text))
+    for text in ("a b\n", "q b\n c", "a\n b", "a  b", "a b ", "a b  ", "\n", "\n a", "one two three", "one two three", "one two four"):
+        seen.clear()
+        assert encoder.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    assert seen == [len("four ")]
+
+
 def test_long_texts_and_full_memos(monkeypatch):
     tokenizer = Tokenizer.from_file(PATH)
     monkeypatch.setattr(packing, "LONG_TEXT", 40)
