@@ -27,6 +27,8 @@ from logloom.llm.language import held_out
 CUT = 0.7
 #: Words scored at once, and words whose filter shares a task keeps.
 SLICE, MEMO = 1 << 16, 1 << 17
+#: Largest logit told apart where thresholds are fitted, and steps per unit.
+LOGITS, STEPS = 30, 100
 
 _words = regex.compile(r"\w+").findall
 
@@ -214,17 +216,39 @@ def _train(texts: list[np.ndarray], labels: np.ndarray, shape: Shape, epochs: in
     return ToxicModel(shape, params["E"], taps, params["b"], params["v"], float(params["c"][0]))
 
 
-def _threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """Logit between the two classes with the fewest errors; the middle of the widest such gap."""
+def _threshold(logits: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float:
+    """Logit between the two classes with the fewest errors; the middle of the widest such gap.
+
+    ``clean`` and ``toxic`` count the rows of either class at each of the distinct ``logits``.
+    """
     order = np.argsort(logits)
-    z, y = logits[order], labels[order]
-    errors = np.concatenate([[0], np.cumsum(y)]) + (len(y) - y.sum() - np.concatenate([[0], np.cumsum(1 - y)]))
+    z, no, yes = logits[order], clean[order], toxic[order]
+    errors = np.concatenate([[0], np.cumsum(yes)]) + (no.sum() - np.concatenate([[0], np.cumsum(no)]))
     edges = np.concatenate([[z[0] - 2], (z[1:] + z[:-1]) / 2, [z[-1] + 2]])
     gaps = np.concatenate([[0], np.diff(z), [0]])
     best = np.flatnonzero(errors == errors.min())
     return float(edges[best[np.argmax(gaps[best])]])
 
 
+def _judged(rows: DataFrame, model: ToxicModel) -> pd.DataFrame:
+    """Rows of either class per guessed language and logit, at most ``2 * LOGITS * STEPS`` logits each.
+
+    Every row of ``rows(text, toxic)`` is scored and counted, in tasks.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            found = [scorer.raw(text) for text in batch["text"]]
+            places = [round(min(max(z, -LOGITS), LOGITS) * STEPS) for z, _ in found]
+            yield pd.DataFrame({"lang": [g for _, g in found], "place": places, "toxic": batch["toxic"].to_numpy()})
+
+    scored = rows.select("text", "toxic").mapInPandas(run, "lang int, place int, toxic int")
+    counts = scored.groupBy("lang", "place").agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic"))
+    return counts.toPandas().sort_values(["lang", "place"])
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -233,12 +257,13 @@ def fit(
     max_chars: int = 20_000,
     epochs: int = 6,
 ) -> ToxicModel | None:
-    """Train on a bounded sample of the labelled rows that are not held out.
+    """Train on a bounded sample of the labelled rows that are not held out; thresholds from all others of these.
 
     At most ``rows_per_label`` ids of each label, chosen by a hash of the id, with
     their texts of up to ``max_chars`` characters: the bound holds at every size, and
-    the same rows are taken on every run. A fifth of them sets the thresholds per
-    language. Null labels, ids and texts are passed over. None if a label is missing.
+    the same rows are taken on every run. A fifth of them is not trained on: with all
+    labelled rows that were not taken it sets the thresholds per language, so these
+    come from every row that is neither held out nor trained on. Null labels, ids and texts are passed over. None if a label is missing.
     """
     marks = labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     marks = marks.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -264,15 +289,21 @@ def fit(
         if row.lang and len(text):
             np.add.at(counts[model.langs.index(row.lang)], text[:, 0], 1)
     model.lang_scores = np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32)
-    scorer = Scorer(model)
-    found = [scorer.raw(rows[i].text) for i in judged]
-    logits, guessed = np.array([z for z, _ in found]), np.array([g for _, g in found])
-    overall = _threshold(logits, toxic[judged])
+    trained = {rows[i].doc_id for i in fitted} if len(judged) < len(rows) else set()
+    learned = F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in trained], marks.select("doc_id").schema))
+    others = docs.where(F.col("text").isNotNull() & ~held_out("doc_id")).select("doc_id", "text").join(marks, "doc_id")
+    found = _judged(others.join(learned, "doc_id", "left_anti"), model)
+    whole = found.groupby("place", as_index=False)[["clean", "toxic"]].sum()
+
+    def cut(counts: pd.DataFrame) -> float:
+        return _threshold(counts["place"].to_numpy() / STEPS, counts["clean"].to_numpy(), counts["toxic"].to_numpy())
+
+    overall = cut(whole) if len(whole) else 0.0
     shifts = []
     for lang in range(max(1, len(model.langs))):
-        mine = guessed == lang
-        enough = min(toxic[judged][mine].sum(), (1 - toxic[judged][mine]).sum()) >= 5 if mine.any() else False
-        shifts.append(np.log(CUT / (1 - CUT)) - (_threshold(logits[mine], toxic[judged][mine]) if enough else overall))
+        mine = found[found["lang"] == lang]
+        enough = min(mine["clean"].sum(), mine["toxic"].sum()) >= 5
+        shifts.append(np.log(CUT / (1 - CUT)) - (cut(mine) if enough else overall))
     model.shifts = np.array(shifts)
     return model
 

@@ -103,6 +103,19 @@ def test_toxicity_slices_equal_whole(monkeypatch):
     assert np.allclose(whole, [toxicity.Scorer(model).score(t) for t in texts], atol=1e-5)
 
 
+def test_toxicity_thresholds_come_from_all_labelled_rows(spark, monkeypatch):
+    """All labelled rows that are neither held out nor trained on set the thresholds, however few are taken to train."""
+    counted, plain = [], toxicity._judged
+    monkeypatch.setattr(toxicity, "_judged", lambda rows, model: counted.append(plain(rows, model)) or counted[-1])
+    texts = [(i, f"word{i % 7} " + ("bad awful" if i % 3 == 0 else "good fine"), "en") for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, rows_per_label=25, epochs=2)
+    learned = labels.where(~language.held_out("doc_id")).count()
+    assert counted[0][["clean", "toxic"]].to_numpy().sum() == learned - 40
+    assert len(model.shifts) == 1
+
+
 def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([(7, None), (None, 1)], "doc_id long, toxic int")
     assert toxicity.fit(edge_docs(spark), labels) is None
