@@ -230,23 +230,31 @@ def _threshold(logits: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> floa
     return float(edges[best[np.argmax(gaps[best])]])
 
 
-def _judged(rows: DataFrame, model: ToxicModel) -> pd.DataFrame:
-    """Rows of either class per guessed language and logit, at most ``2 * LOGITS * STEPS`` logits each.
+def _counted(docs: DataFrame, marks: DataFrame, model: ToxicModel) -> DataFrame:
+    """``(lang, place, clean, toxic)``: rows of ``docs(doc_id, text)`` that ``marks(doc_id, toxic)`` knows, per language and logit.
 
-    Every row of ``rows(text, toxic)`` is scored and counted, in tasks.
+    Texts are scored where they lie; only ids, languages and logits move to the labels.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
         for batch in batches:
             found = [scorer.raw(text) for text in batch["text"]]
             places = [round(min(max(z, -LOGITS), LOGITS) * STEPS) for z, _ in found]
-            yield pd.DataFrame({"lang": [g for _, g in found], "place": places, "toxic": batch["toxic"].to_numpy()})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang": [g for _, g in found], "place": places})
+
+    kind = dict(docs.dtypes)["doc_id"]
+    scored = docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, lang int, place int").join(marks, "doc_id")
+    return scored.groupBy("lang", "place").agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic"))
+
 
-    scored = rows.select("text", "toxic").mapInPandas(run, "lang int, place int, toxic int")
-    counts = scored.groupBy("lang", "place").agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic"))
-    return counts.toPandas().sort_values(["lang", "place"])
+def _judged(rows: tuple[DataFrame, DataFrame], model: ToxicModel) -> pd.DataFrame:
+    """Rows of either class per guessed language and logit, at most ``2 * LOGITS * STEPS`` logits each.
+
+    Every labelled row of ``rows``, documents and marks as in ``_counted``, is scored and counted, in tasks.
+    """
+    return _counted(*rows, model).toPandas().sort_values(["lang", "place"])
 
 
 def fit(
@@ -291,8 +299,8 @@ def fit(
     model.lang_scores = np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32)
     trained = {rows[i].doc_id for i in fitted} if len(judged) < len(rows) else set()
     learned = F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in trained], marks.select("doc_id").schema))
-    others = docs.where(F.col("text").isNotNull() & ~held_out("doc_id")).select("doc_id", "text").join(marks, "doc_id")
-    found = _judged(others.join(learned, "doc_id", "left_anti"), model)
+    others = docs.where(F.col("text").isNotNull() & ~held_out("doc_id")).select("doc_id", "text")
+    found = _judged((others.join(learned, "doc_id", "left_anti"), marks), model)
     whole = found.groupby("place", as_index=False)[["clean", "toxic"]].sum()
 
     def cut(counts: pd.DataFrame) -> float:

@@ -116,6 +116,23 @@ def test_toxicity_thresholds_come_from_all_labelled_rows(spark, monkeypatch):
     assert len(model.shifts) == 1
 
 
+def test_toxicity_scores_for_thresholds_where_the_texts_lie(spark, monkeypatch):
+    plans, plain = [], toxicity._judged
+
+    def judged(rows, model):
+        counts = toxicity._counted(*rows, model)
+        plans.append(counts._jdf.queryExecution().optimizedPlan().toString())
+        return plain(rows, model)
+
+    monkeypatch.setattr(toxicity, "_judged", judged)
+    docs = spark.createDataFrame([(i, f"{'vile' if i % 3 == 0 else 'kind'} word{i % 7}", "en") for i in range(300)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels, rows_per_label=25, epochs=1)
+    # the join with the labels is above the scoring: it sees no text
+    plan = plans[0]
+    assert plan.index("Join Inner") < plan.index("MapInPandas")
+
+
 def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([(7, None), (None, 1)], "doc_id long, toxic int")
     assert toxicity.fit(edge_docs(spark), labels) is None
