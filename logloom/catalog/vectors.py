@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logloom.catalog.base import Tables, query
 from logloom.catalog.texts import TERMS_SQL, VOCAB_SQL, docs, vocabulary_docs
 from logloom.operators import aggregates, features, text
+from logloom.plans.rows import elements
 
 DIM = 64
 
@@ -20,7 +21,7 @@ def _word_vectors(t: Tables, vocabulary: DataFrame) -> DataFrame:
 
 def _term_vectors(t: Tables) -> DataFrame:
     """(word, vec): terms in alphabetical order, each with one of the vectors."""
-    terms = features.label_index(text.term_frequencies(docs(t), "tokens"), "term")
+    terms = features.label_index(elements(docs(t), [], F.array_distinct("tokens"), "term"), "term")
     vectors = t.embeddings.select(F.col("vec_id").alias("idx"), F.col("embedding").alias("vec"))
     return terms.join(vectors, "idx").select(F.col("label").alias("word"), "vec")
 
