@@ -213,3 +213,45 @@ def test_dealt_dictionary_equals_the_broadcast_one(spark):
         assert sorted(kept.collect()) == sorted(dealt.collect()) and dealt.count() == len(rows)
     found = {r.doc: r.tokens for r in kept.collect()}
     assert found[5][:5] == ["THE", "run", "on", "a", "five"] and found[900] == []
+
+
+def _operators(df):
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rare_terms_beyond_the_broadcast_ones_have_the_same_weights(docs):
+    plain = {(r.id, r.term): r.weight for r in features.tfidf(docs, "id", "tokens").collect()}
+    dealt = features.tfidf(docs, "id", "tokens", broadcast_terms=2)
+    assert {(r.id, r.term): r.weight for r in dealt.collect()} == pytest.approx(plain)
+    # pairs meet their weights where they were counted
+    assert "SortMergeJoin" not in _operators(features.tfidf(docs, "id", "tokens"))
+
+
+def test_broadcast_and_dealt_vectors_have_the_same_means(spark, docs):
+    vectors = docs.select(F.explode("tokens").alias("word")).distinct().select("word", F.array(F.length("word").cast("float"), F.lit(1.0).cast("float")).alias("vec"))
+    there = features.mean_embedding(docs, "id", "tokens", vectors, 2)
+    dealt = features.mean_embedding(docs, "id", "tokens", vectors, 2, broadcast_numbers=0)
+    assert sorted(map(str, there.collect())) == sorted(map(str, dealt.collect()))
+
+
+def test_dictionary_is_looked_up_without_moving_tokens(spark):
+    rows = spark.createDataFrame([(1, ["a", None, "b"]), (2, []), (3, None)], "id INT, tokens ARRAY<STRING>")
+    table = spark.createDataFrame([("a", "x y"), ("b", None)], "token STRING, value STRING")
+    out = text.expand_contractions(rows, "id", "tokens", table)
+    assert {r.id: r.tokens for r in out.collect()} == {1: ["x", "y", "b"], 2: [], 3: []}
+    assert "Exchange" not in _operators(out)
+
+
+def test_vocabulary_is_counted_by_hash(spark):
+    rows = spark.createDataFrame([(7, ["b", "a"]), (None, ["c"]), (-3, ["d", "e"]), (2**63 - 1, ["f"])], "id LONG, words ARRAY<STRING>")
+    found = text.fit_vocabulary(rows, "id", "words")
+    assert [r.word for r in found.orderBy("idx").collect()] == ["c", "d", "e", "b", "a", "f"]
+    assert "SortAggregate" not in _operators(text.fit_vocabulary(rows, "id", "words", cap=5))
+
+
+def test_tails_with_unknown_words_are_read_whole(spark):
+    rows = spark.createDataFrame([(1, list("aabbxx")), (2, list("xb")), (None, list("xbaxxx")), (3, None), (4, list("xaba")), (4, list("ab"))], "id INT, words ARRAY<STRING>")
+    known = spark.createDataFrame([("a", 5, 1), ("b", 4, 2)], "word STRING, n LONG, idx INT")
+    found = text.encode(rows, "id", "words", known, 2)
+    assert {r.id: list(r.sequence) for r in found.collect()} == {1: [2, 2], 2: [0, 2], None: [2, 1], 3: [0, 0], 4: [2, 1]}
