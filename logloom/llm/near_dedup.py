@@ -190,9 +190,13 @@ def _open_rows(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _crowds(rows: DataFrame, how: NearDedup) -> DataFrame:
     """``(rep, crowd)``: classes tied together by keys with many classes."""
-    big = rows.where(F.col("n") > how.tile_from)
-    hubs = big.groupBy("key").agg(F.min("rep").alias("v"))
-    found = connected_components(big.join(hubs, "key").select(F.col("rep").alias("u"), "v"))
+    big = rows.where(F.col("n") > how.tile_from).select("key", "rep")
+    hubs = big.groupBy("key").agg(F.min("rep").alias("hub"))
+    met = cut_lineage(big.join(hubs, "key").select("rep", "hub").distinct())
+    # a class is tied to one hub; that its hubs belong together is said once for each two hubs
+    least = met.groupBy("rep").agg(F.min("hub").alias("least"))
+    hub_edges = met.join(least, "rep").select(F.col("hub").alias("u"), F.col("least").alias("v")).where("u <> v").distinct()
+    found = connected_components(least.select(F.col("rep").alias("u"), F.col("least").alias("v")).union(hub_edges))
     return cut_lineage(
         found.select(F.col("node").alias("rep"), F.col("component").alias("crowd"))
         .union(found.select("component", "component"))
@@ -240,12 +244,31 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return shared.astype(np.int64)
 
 
+def _tree(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Places of the links ``left[i]``-``right[i]`` that tie together what all of them do, without a circle."""
+    parent: dict[int, int] = {}
+
+    def root(node: int) -> int:
+        while (up := parent.get(node, node)) != node:
+            parent[node] = node = parent.get(up, up)
+        return node
+
+    kept = []
+    for i, (u, v) in enumerate(zip(left.tolist(), right.tolist())):
+        u, v = root(u), root(v)
+        if u != v:
+            parent[max(u, v)] = min(u, v)
+            kept.append(i)
+    return np.array(kept, np.int64)
+
+
 def _crowd_links(crowds: DataFrame, labels: DataFrame, texts: DataFrame, how: NearDedup) -> DataFrame:
     """Links between the components of a crowd, tested in tiles of ``tile`` by ``tile`` classes.
 
     Each class outside the largest component of its crowd meets all classes of
-    the crowd; a tile gives at most one link per class and component, so no pair
-    without a link and no second link to a component becomes a row.
+    the crowd; a tile gives the links that tie its components together, fewer than
+    there are components, so no pair without a link and no second way to a component
+    becomes a row.
     """
 
     def test(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -257,10 +280,8 @@ def _crowd_links(crowds: DataFrame, labels: DataFrame, texts: DataFrame, how: Ne
         union = sizes[0][:, None] + sizes[1][None, :] - shared
         apart = left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :]
         row, column = np.nonzero(apart & (100 * shared >= how.percent * union))
-        links = pd.DataFrame(
-            {"a": left["rep"].to_numpy()[row], "b": right["rep"].to_numpy()[column], "to": right["component"].to_numpy()[column]}
-        )
-        return links.drop_duplicates(["a", "to"])[["a", "b"]]
+        tree = _tree(left["component"].to_numpy()[row], right["component"].to_numpy()[column])
+        return pd.DataFrame({"a": left["rep"].to_numpy()[row[tree]], "b": right["rep"].to_numpy()[column[tree]]})
 
     members = _labelled(crowds, labels)
     sizes = members.groupBy("crowd", "component").count()

@@ -72,6 +72,19 @@ def test_near_duplicates_equal_all_pairs(spark, how):
             assert (r.n_shingles, r.component_id) == want[r.doc_id] and r.kept == (r.component_id == r.doc_id)
 
 
+def test_crowds_and_tiles_make_few_edges(spark, monkeypatch):
+    sizes, plain = [], connected_components
+    monkeypatch.setattr(near_dedup, "connected_components", lambda edges: sizes.append(edges.distinct().count()) or plain(edges))
+    # 120 classes under the same 20 keys with hubs of their own
+    rows = spark.createDataFrame([(key, rep, 120) for key in range(20) for rep in range(key, 120)], "key long, rep long, n long")
+    found = near_dedup._crowds(rows, near_dedup.NearDedup(tile_from=4)).collect()
+    assert {(r.rep, r.crowd) for r in found} == {(rep, 0) for rep in range(120)}
+    assert sizes[0] < 120 + 20
+    # all pairs of ten nodes hang together by nine of them
+    left, right = np.triu_indices(10, 1)
+    assert len(near_dedup._tree(left, right)) == 9
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(empty_docs(spark)).count() == 0
     assert near_dedup.near_duplicates(edge_docs(spark).where("text is null")).where("not kept").count() == 0
