@@ -1,18 +1,22 @@
 """Stupid-backoff scores of documents, computed as joins with n-gram count tables.
 
 Every run of ``order`` neighbouring words is a row of the exploded corpus. Rows are
-dealt by a hash, so that all rows of one n-gram, and all n-grams after one context,
-meet in one group: there the n-gram and context counts are sums and the rows are
-joined to them. Rows of n-grams below the minimal count go on to the next shorter
-order without their first word and are dealt again; of the others only the counts go
-on, one row per n-gram and group. A pair below the minimal count backs off to the
-count of its second word, a join with the word table. Contributions are summed per
-document.
-
-Frequent words and n-grams would make groups of any size. Words above ``1 / HOT_WORDS``
-and n-grams of one order above ``1 / HOT_PAIRS`` of the corpus are fewer than these
-numbers whatever its size; their exact counts are broadcast, rows of frequent n-grams
-never move and rows of other n-grams after a frequent context are dealt by the n-gram.
+dealt by their last word but one, the last word of every context: all n-grams of all
+orders that back off to each other, and their contexts, meet in one group. There the
+n-gram and context counts are sums, the rows are joined to them and back off in place,
+so a row moves once. A pair below the minimal count backs off to the count of its
+second word, a join with the word table. Contributions are summed per document.
+
+A word with more rows than a group is dealt by whole contexts instead. Rows of its
+n-grams below the minimal count go on to the next shorter order without their first
+word and are dealt again; of the others only the counts go on, one row per n-gram and
+group. For order 2 both ways are the same.
+
+Frequent n-grams would make groups of any size. Those of one order above
+``1 / HOT_PAIRS`` of the corpus are fewer than that number whatever its size; their
+exact counts are broadcast, rows of frequent n-grams never move and rows of other
+n-grams after a frequent context are dealt by the n-gram. So are the counts of the
+``LISTED * HOT_WORDS`` most frequent words, which travel as their short numbers.
 """
 
 from __future__ import annotations
@@ -29,11 +33,19 @@ from logloom.llm.words import hashes, lower_words, mixed
 from logloom.session import cut_lineage
 
 HOT_WORDS, HOT_PAIRS = 1 << 15, 1 << 12
+#: Words with broadcast counts, as a multiple of ``HOT_WORDS``.
+LISTED = 8
 BACKOFF = 0.4
 #: Words handled at once in a task; rows in a group, about.
 BUFFER, GROUP = 1 << 19, 3_000_000
-#: A word is its 39-bit hash with this bit, a frequent one its number in the list.
+#: Rows of a group that are sorted at once, about.
+PIECE = 1 << 15
+#: A word is its 39-bit hash with this bit, a listed one its rank by frequency.
 COLD = np.uint64(1 << 39)
+#: Stands before the first word of a document.
+START = COLD - np.uint64(1)
+#: Kinds of groups beside the orders: sums of documents, rows that back off in place.
+SUMS, WHOLE = 0, 1
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -41,8 +53,8 @@ def _codes(text: str | None) -> np.ndarray:
     return (hashes(lower_words(text)) >> np.uint64(25)) | COLD
 
 
-def _buffers(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Ids, lengths and word codes of consecutive documents, ``BUFFER`` words or more at a time."""
+def _buffers(batches: Iterator[pd.DataFrame], times: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, lengths and word codes of consecutive documents, ``times`` ``BUFFER`` words or more at a time."""
     ids, parts, size = [], [], 0
     for batch in batches:
         for doc, text in zip(batch["id"], batch["text"]):
@@ -50,7 +62,7 @@ def _buffers(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.n
             ids.append(doc)
             parts.append(codes)
             size += len(codes)
-            if size >= BUFFER:
+            if size >= times * BUFFER:
                 yield np.array(ids, np.int64), np.array([len(p) for p in parts]), np.concatenate(parts)
                 ids, parts, size = [], [], 0
     if ids:
@@ -83,26 +95,41 @@ def _keys(grams: np.ndarray) -> np.ndarray:
 
 
 def _numbers(grams: np.ndarray) -> np.ndarray:
-    """One number per n-gram of frequent words, -1 for others."""
-    numbers = np.zeros(grams.shape[1], np.int64)
+    """One number per n-gram of words among the first ``HOT_PAIRS``, which those of frequent n-grams are, -1 for others."""
+    listed = grams[0] < HOT_PAIRS
+    for word in grams[1:]:
+        listed &= word < HOT_PAIRS
+    at = np.flatnonzero(listed)
+    out, numbers = np.full(grams.shape[1], -1, np.int64), np.zeros(len(at), np.int64)
     for word in grams:
-        numbers = (numbers << 15) | word.astype(np.int64)
-    return np.where((grams < COLD).all(axis=0), numbers, -1)
+        numbers = (numbers << 15) | word[at].view(np.int64)
+    out[at] = numbers
+    return out
+
+
+def _spots(codes: np.ndarray, places: np.ndarray, order: int) -> np.ndarray:
+    """Where n-grams of words among the first ``HOT_PAIRS`` end."""
+    listed, ends = codes < HOT_PAIRS, places >= order - 1
+    for back in range(min(order, len(codes))):
+        ends[back:] &= listed[: len(codes) - back]
+    return np.flatnonzero(ends)
 
 
 def _find(listed: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which numbers are in a sorted list, and their places in it."""
-    if not len(listed):
-        return np.zeros(len(numbers), bool), np.zeros(len(numbers), np.int64)
-    place = np.minimum(np.searchsorted(listed, numbers), len(listed) - 1)
-    return listed[place] == numbers, place
+    hit, place = np.zeros(len(numbers), bool), np.zeros(len(numbers), np.int64)
+    if len(listed):
+        at = np.flatnonzero(numbers >= 0)
+        place[at] = np.minimum(np.searchsorted(listed, numbers[at]), len(listed) - 1)
+        hit[at] = listed[place[at]] == numbers[at]
+    return hit, place
 
 
 def word_table(docs: DataFrame) -> DataFrame:
     """``(word, n, followed)``: how often each word occurs, and occurs before another word."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, lengths, codes in _buffers(batches):
+        for _, lengths, codes in _buffers(batches, 4):
             words, place, n = np.unique(codes, return_inverse=True, return_counts=True)
             followed = ~np.append(_first_words(lengths)[1:], True) if len(codes) else np.empty(0, bool)
             before = np.bincount(place[followed], minlength=len(words))
@@ -113,16 +140,35 @@ def word_table(docs: DataFrame) -> DataFrame:
 
 
 class Frequent:
-    """The frequent words and n-grams with their counts: fewer than ``HOT_WORDS``, and than ``HOT_PAIRS`` of each order."""
+    """Counts of the most frequent words, by rank, and of the frequent n-grams: fewer than ``HOT_PAIRS`` of each order."""
 
     def __init__(self, total: int, words: np.ndarray, n: np.ndarray, followed: np.ndarray):
-        order = np.argsort(words)
-        self.total, self.words = total, words[order]
+        order = np.lexsort((words, -n))
+        self.total, self.words, self.n = total, words[order], n[order]
         with np.errstate(divide="ignore"):
-            self.log_n, self.log_followed = np.log(n[order]), np.log(followed[order])
-        self.maybe = np.zeros(1 << 21, bool)
-        self.maybe[words & np.uint64((1 << 21) - 1)] = True
+            self.log_n, self.log_followed = np.log(self.n), np.log(followed[order])
+        # a word is looked up in its slot; of words that share one the first is there, the others in a list
+        slots = (self.words & np.uint64((1 << 21) - 1)).astype(np.int64)
+        self.slots = np.full(1 << 21, -1, np.int32)
+        self.slots[slots[::-1]] = np.arange(len(words), dtype=np.int32)[::-1]
+        others = np.flatnonzero(self.slots[slots] != np.arange(len(words)))
+        self.others = others[np.argsort(self.words[others])]
         self.grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.hot, self.dealt, self.groups, self.hot_groups = len(words), np.empty(0, np.int64), 1, 1
+
+    def share_out(self, order: int) -> None:
+        """Which words have more rows than a group, and the groups of the words that fill a good part of one."""
+        rows = 2 * GROUP // order
+        if order > 2:
+            self.hot = int((self.n > rows).sum())
+        own = self.n[self.hot : int((self.n * 16 > rows).sum())]
+        hot = int(self.n[: self.hot].sum()) if order > 2 else self.total
+        self.groups, self.hot_groups = max(1, -(-(self.total - hot) // rows)), max(1, -(-hot // rows))
+        loads = np.full(self.groups, (self.total - hot - own.sum()) / self.groups)
+        self.dealt = np.zeros(len(own), np.int64)
+        for at, n in enumerate(own.tolist()):
+            self.dealt[at] = g = loads.argmin()
+            loads[g] += n
 
     def set_grams(self, order: int, numbers: np.ndarray, n: np.ndarray, followed: np.ndarray) -> None:
         by = np.argsort(numbers)
@@ -130,13 +176,20 @@ class Frequent:
             self.grams[order] = numbers[by], np.log(n[by]), np.log(followed[by])
 
     def replace(self, codes: np.ndarray) -> np.ndarray:
-        """Codes with the frequent words replaced by their numbers."""
+        """Codes with the listed words replaced by their ranks."""
         out = codes.copy()
-        at = np.flatnonzero(self.maybe[codes & np.uint64((1 << 21) - 1)])
-        if len(self.words) and len(at):
-            place = np.minimum(np.searchsorted(self.words, codes[at]), len(self.words) - 1)
-            hit = self.words[place] == codes[at]
-            out[at[hit]] = place[hit]
+        rank = self.slots[codes & np.uint64((1 << 21) - 1)]
+        at = np.flatnonzero(rank >= 0)
+        if not len(at):
+            return out
+        hit = self.words[rank[at]] == codes[at]
+        out[at[hit]] = rank[at[hit]]
+        at = at[~hit]
+        if len(self.others) and len(at):
+            listed = self.words[self.others]
+            place = np.minimum(np.searchsorted(listed, codes[at]), len(listed) - 1)
+            hit = listed[place] == codes[at]
+            out[at[hit]] = self.others[place[hit]]
         return out
 
     def contexts(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +215,12 @@ def frequent(docs: DataFrame, table: DataFrame, order: int = 2, min_count: int =
     those frequent in a buffer are candidates and only they are counted again.
     """
     total = table.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    hot = table.where(F.col("n") * HOT_WORDS > total).toPandas()
+    # as many of the most frequent words as fit, by steps of a sixteenth of a power of two
+    step = F.floor(F.log2("n") * 16)
+    steps = sorted(((r.step, r.words) for r in table.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
+    fit = np.cumsum([words for _, words in steps]) <= LISTED * HOT_WORDS
+    lowest = min((at for (at, _), fits in zip(steps, fit) if fits), default=1 << 16)
+    hot = table.where(step >= lowest).toPandas()
     found = Frequent(total, hot["word"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(), hot["followed"].to_numpy())
     shared = docs.sparkSession.sparkContext.broadcast(found)
     orders = range(2, order + 1)
@@ -172,9 +230,9 @@ def frequent(docs: DataFrame, table: DataFrame, order: int = 2, min_count: int =
         for _, lengths, codes in _buffers(batches):
             codes, places, often = shared.value.replace(codes), _places(lengths), None
             for n in orders:
-                numbers = _numbers(_grams(codes, np.flatnonzero(places >= n - 1), n))
+                numbers = _numbers(_grams(codes, _spots(codes, places, n), n))
                 # only what follows a frequent context can be frequent
-                numbers = numbers[numbers >= 0] if often is None else numbers[_find(often, numbers >> 15)[0]]
+                numbers = numbers if often is None else numbers[_find(often, numbers >> 15)[0]]
                 found_here, times = np.unique(numbers, return_counts=True)
                 often = found_here[times * HOT_PAIRS > len(codes)]
                 kept[n].update(often.tolist())
@@ -191,7 +249,7 @@ def frequent(docs: DataFrame, table: DataFrame, order: int = 2, min_count: int =
             codes, places = shared.value.replace(codes), _places(lengths)
             goes_on = np.append(places[1:] > 0, False)
             for n in orders:
-                last = np.flatnonzero(places >= n - 1)
+                last = _spots(codes, places, n)
                 hit, place = _find(wanted.value[n], _numbers(_grams(codes, last, n)))
                 for role, chosen in enumerate((hit, hit & goes_on[last])):
                     totals[n][role] += np.bincount(place[chosen], minlength=totals[n].shape[1])
@@ -217,49 +275,107 @@ def _unplanes(data: bytes, size: int) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
+def _bytes(numbers: np.ndarray) -> bytes:
+    """Numbers of 8 bytes, byte by byte."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _from_bytes(data: bytes, kind: type, size: int, at: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8, 8 * size, at).reshape(8, size).T).reshape(-1).view(kind)
+
+
+def _steps(ids: np.ndarray) -> np.ndarray:
+    """Ids as differences, which wrap around; ``cumsum`` gives the ids."""
+    return np.diff(ids, prepend=np.int64(0))
+
+
 def _pack(ids: np.ndarray, parts: np.ndarray, runs: np.ndarray, grams: np.ndarray, times: np.ndarray) -> bytes:
     """Rows of documents with what the documents carry, then ``times`` of n-grams that are only counted."""
     sizes = np.array([len(ids), len(times), *grams.shape], np.int64)
-    data = [sizes, ids.astype(np.int64), parts.astype(np.float64), runs.astype(np.int32), times.astype(np.int32)]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([x.tobytes() for x in data] + [_planes(np.ascontiguousarray(word)) for word in grams]))
+    data = [sizes.tobytes(), *(_bytes(x) for x in (_steps(ids.astype(np.int64)), parts.astype(np.float64), runs.astype(np.int64), times.astype(np.int64)))]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(data + [_planes(np.ascontiguousarray(word)) for word in grams]))
 
 
 def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(block)
     docs, counted, order, size = np.frombuffer(data, np.int64, 4).tolist()
     at, out = 32, []
-    for kind, n in ((np.int64, docs), (np.float64, docs), (np.int32, docs), (np.int32, counted)):
-        out.append(np.frombuffer(data, kind, n, at))
-        at += n * np.dtype(kind).itemsize
+    for kind, n in ((np.int64, docs), (np.float64, docs), (np.int64, docs), (np.int64, counted)):
+        out.append(_from_bytes(data, kind, n, at))
+        at += 8 * n
+    out[0] = np.cumsum(out[0])
     words = [_unplanes(data[at + 5 * size * i : at + 5 * size * (i + 1)], size) for i in range(order)]
     return (*out, np.stack(words))
 
 
-def _dealt(found: Frequent, groups: int, ids, doc, grams, parts=None, counted=None, times=None) -> Iterator[dict]:
-    """N-grams in packed groups of their order; ``doc`` numbers into ``ids``, ``parts`` ride on the first row of each document."""
+def _blocks(kind: int, groups: int, group: np.ndarray, ids, doc, grams, own: int, parts=None, times=None) -> Iterator[dict]:
+    """N-grams in packed blocks of their groups; ``doc`` numbers into ``ids``, ``parts`` ride on the first row of each document.
+
+    From ``own`` on n-grams are only counted.
+    """
+    if (doc[1:] < doc[:-1]).any():
+        by = np.concatenate([np.argsort(doc, kind="stable"), np.arange(own, len(group))])
+        doc, grams, group = doc[by[:own]], grams[:, by], group[by]
+    by = np.argsort(group.astype(np.uint16 if groups < 1 << 16 else np.uint32), kind="stable")
+    grams = grams[:, by]
+    edges = np.append(0, np.cumsum(np.bincount(group.astype(np.int64), minlength=groups)))
+    left = None if parts is None else parts.copy()
+    for g in np.flatnonzero(np.diff(edges)):
+        at = by[edges[g] : edges[g + 1]]
+        rows = np.searchsorted(at, own)
+        held = doc[at[:rows]]
+        first = np.flatnonzero(np.append(True, held[1:] != held[:-1])[:rows])
+        owners, runs = held[first], np.diff(first, append=rows)
+        carried = np.zeros(len(owners)) if left is None else left[owners]
+        if left is not None:
+            left[owners] = 0.0
+        counts = np.empty(0, np.int64) if times is None else times[at[rows:] - own]
+        yield {"group": (kind << 40) | int(g), "block": _pack(ids[owners], carried, runs, grams[:, edges[g] : edges[g + 1]], counts)}
+
+
+def _dealt(found: Frequent, ids, doc, grams, parts=None, counted=None, times=None) -> Iterator[dict]:
+    """N-grams in groups of their order, by context, after a frequent context by n-gram; ``counted`` are only counted, ``times``."""
     order, own = len(grams), grams.shape[1]
     if counted is not None:
         grams = np.concatenate([grams, counted], axis=1)
     group = _keys(grams[:-1])
     often = found.contexts(grams[:-1])[0]
     group[often] = _keys(grams[:, often])
-    group = (group >> np.uint64(20)) % np.uint64(groups)
+    group = (group >> np.uint64(20)) % np.uint64(found.hot_groups)
+    yield from _blocks(order, found.hot_groups, group, ids, doc, grams, own, parts, times)
+
+
+def _dealt_whole(found: Frequent, ids, doc, grams) -> Iterator[dict]:
+    """N-grams in groups by their last word but one."""
+    word = grams[-2]
+    group = (_keys(grams[-2:-1]) >> np.uint64(20)) % np.uint64(found.groups)
+    at = np.flatnonzero(word < found.hot + len(found.dealt))
+    group[at] = found.dealt[word[at].astype(np.int64) - found.hot].astype(np.uint64)
+    yield from _blocks(WHOLE, found.groups, group, ids, doc, grams, len(doc))
+
+
+def _sums(found: Frequent, docs: np.ndarray, sums: np.ndarray) -> Iterator[dict]:
+    """Sums of documents, which differ, in groups by document."""
+    groups = max(found.groups, found.hot_groups)
+    group = (mixed(docs.view(np.uint64)) >> np.uint64(20)) % np.uint64(groups)
     by = np.argsort(group.astype(np.uint32), kind="stable")
     edges = np.searchsorted(group[by], np.arange(groups + 1).astype(np.uint64))
-    left = None if parts is None else parts.copy()
     for g in np.flatnonzero(np.diff(edges)):
         at = by[edges[g] : edges[g + 1]]
-        rows, more = at[at < own], at[at >= own]
-        owners, runs = np.unique(doc[rows], return_counts=True)
-        carried = np.zeros(len(owners)) if left is None else left[owners]
-        if left is not None:
-            left[owners] = 0.0
-        rows = rows[np.argsort(doc[rows], kind="stable")]
-        counts = np.empty(0, np.int32) if times is None else times[more - own]
-        yield {"group": (order << 40) | int(g), "block": _pack(ids[owners], carried, runs, grams[:, np.concatenate([rows, more])], counts)}
+        data = _bytes(_steps(docs[at])) + _bytes(sums[at])
+        yield {"group": (SUMS << 40) | int(g), "block": zstandard.ZstdCompressor(level=1).compress(data)}
+
 
+def _summed(blocks: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Documents of a group with the sums of all that was sent for them."""
+    parts = [zstandard.ZstdDecompressor().decompress(block) for block in blocks]
+    docs = np.concatenate([np.cumsum(_from_bytes(p, np.int64, len(p) // 16, 0)) for p in parts])
+    sums = np.concatenate([_from_bytes(p, np.float64, len(p) // 16, len(p) // 2) for p in parts])
+    docs, owner = np.unique(docs, return_inverse=True)
+    return docs, np.bincount(owner, sums, minlength=len(docs))
 
-def _deal(found: Frequent, order: int, groups: int, ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> Iterator[dict]:
+
+def _deal(found: Frequent, order: int, ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> Iterator[dict]:
     """What a buffer adds to each document by itself, then its n-grams in packed groups."""
     codes = found.replace(codes)
     doc, places = np.repeat(np.arange(len(ids)), lengths), _places(lengths)
@@ -268,19 +384,31 @@ def _deal(found: Frequent, order: int, groups: int, ids: np.ndarray, lengths: np
     known = codes[start] < COLD
     np.add.at(parts, doc[start[known]], found.log_n[codes[start[known]].astype(np.int64)] - np.log(found.total))
     open_first = start[~known]
-    moved = []
+    moved, rest = [], places > 0
     for n in range(2, order + 1):
         # the first words of a document have shorter contexts
-        last = np.flatnonzero(places >= n - 1 if n == order else places == n - 1)
-        grams, owner = _grams(codes, last, n), doc[last]
-        hit, gain = found.settle(grams)
-        parts += np.bincount(owner[hit], gain, minlength=len(ids))
-        moved.append((owner[~hit], grams[:, ~hit]))
+        here = places >= n - 1 if n == order else places == n - 1
+        last = _spots(codes, places, n)
+        last = last[here[last]]
+        hit, gain = found.settle(_grams(codes, last, n))
+        parts += np.bincount(doc[last[hit]], gain, minlength=len(ids))
+        rest[last[hit]] = False
+        here &= rest
+        if order > 2:
+            here[1:] &= codes[:-1] < found.hot
+        last = np.flatnonzero(here)
+        moved.append((doc[last], _grams(codes, last, n)))
+        rest[last] = False
     opened = _rows(ids[doc[open_first]], codes[open_first], np.ones(len(open_first)), ids, parts, lengths)
     opened.loc[opened.index[: len(open_first)], "part"] = -np.log(found.total) if found.total else 0.0
-    yield _finished(opened)
+    yield _finished(opened, int(ids[0]))
     for owner, grams in moved:
-        yield from _dealt(found, groups, ids, owner, grams)
+        yield from _dealt(found, ids, owner, grams)
+    last = np.flatnonzero(rest)
+    grams = _grams(codes, last, order)
+    for back in range(2, order):
+        grams[order - 1 - back, places[last] < back] = START
+    yield from _dealt_whole(found, ids, doc[last], grams)
 
 
 _OUT = "doc long, word long, weight double, part double, n long"
@@ -299,35 +427,113 @@ def _rows(docs, words, weights, part_docs, parts, ns) -> pd.DataFrame:
     )
 
 
-_KINDS = [(name, np.float64 if kind == "double" else np.int64) for name, kind in (c.split() for c in _OUT.split(", "))]
+def _finished(rows: pd.DataFrame, group: int) -> dict:
+    """Rows of ``_OUT`` on their way past the joins, in groups below 0."""
+    data = _bytes(_steps(rows["doc"].to_numpy())) + b"".join(_bytes(rows[c].to_numpy()) for c in ("word", "weight", "part", "n"))
+    return {"group": -1 - (group & 0xFFFFF), "block": zstandard.ZstdCompressor(level=1).compress(data)}
 
 
-def _finished(rows: pd.DataFrame) -> dict:
-    """Rows of ``_OUT`` on their way past the joins, in groups below 0."""
-    block = zstandard.ZstdCompressor(level=1).compress(rows.to_records(index=False).astype(_KINDS).tobytes())
-    return {"group": -1 - int(rows["doc"].iloc[0] & 0xFFFFF) if len(rows) else -1, "block": block}
+def _unfinished(block: bytes) -> pd.DataFrame:
+    data = zstandard.ZstdDecompressor().decompress(block)
+    size = len(data) // 40
+    kinds = [(c.split()[0], np.float64 if c.endswith("double") else np.int64) for c in _OUT.split(", ")]
+    rows = {name: _from_bytes(data, kind, size, 8 * size * i) for i, (name, kind) in enumerate(kinds)}
+    return pd.DataFrame({**rows, "doc": np.cumsum(rows["doc"])})
+
 
+_NONE = np.empty(0, np.int64)
 
-def _unfinished(block: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.dtype(_KINDS))
 
+def _opened(docs: np.ndarray, words: np.ndarray) -> pd.DataFrame:
+    """Open words as rows of ``_OUT``, by document."""
+    by = np.argsort(docs, kind="stable")
+    return _rows(docs[by], words[by], np.ones(len(docs)), _NONE, np.empty(0), _NONE)
 
-def _join_counts(found: Frequent, min_count: int, groups: int, blocks: pd.Series) -> tuple[pd.DataFrame, list[dict]]:
-    """N-grams of a group joined to the n-gram and context counts of the group: finished rows, and blocks of the next shorter order."""
+
+def _sum_by(keys: np.ndarray, weight: np.ndarray | None) -> np.ndarray:
+    """For every row the sum of the weights, or number, of the rows with its key."""
+    if weight is None:
+        # a key that is alone in its bucket is alone
+        bucket = (keys & np.uint64((4 << len(keys).bit_length()) - 1)).view(np.int64)
+        at = np.flatnonzero(np.bincount(bucket)[bucket] > 1)
+        out, keys = np.ones(len(keys), np.int64), keys[at]
+    else:
+        at, out = None, np.empty(len(keys))
+    by = np.argsort(keys)
+    keys = keys[by]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    sizes = np.diff(starts, append=len(keys))
+    sums = sizes if weight is None or not len(keys) else np.add.reduceat(weight[by], starts)
+    out[by if at is None else at[by]] = np.repeat(sums, sizes)
+    return out
+
+
+def _counted(found: Frequent, grams: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The count of each n-gram, and the log of how often its context comes before a word."""
+    count = _sum_by(_keys(grams), weight)
+    often, logs = found.contexts(grams[:-1])
+    log_followed = np.empty(len(often))
+    log_followed[often] = logs
+    at = np.flatnonzero(~often)
+    log_followed[at] = np.log(_sum_by(_keys(grams[:-1, at]), None if weight is None else weight[at]))
+    return count, log_followed
+
+
+def _backed_off(found: Frequent, min_count: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each n-gram adds, and which leave their last word open; all n-grams after their last context words are here."""
+    gain, waits = np.zeros(grams.shape[1]), np.ones(grams.shape[1], bool)
+    for n in range(len(grams), 1, -1):
+        full = np.flatnonzero(grams[-n] != START)
+        count, log_followed = _counted(found, grams[-n:, full] if len(full) < len(gain) else grams[-n:])
+        seen = waits[full] & (count >= min_count)
+        back = full[waits[full] & ~seen]
+        gain[full[seen]] += np.log(count[seen]) - log_followed[seen]
+        waits[full[seen]] = False
+        gain[back] += np.log(BACKOFF)
+        if n > 2:
+            known, logs = found.settle(grams[1 - n :, back])
+            gain[back[known]] += logs
+            waits[back[known]] = False
+    ask = np.flatnonzero(waits)
+    words = grams[-1, ask]
+    gain[ask] -= np.log(found.total)
+    known = words < COLD
+    gain[ask[known]] += found.log_n[words[known].astype(np.int64)]
+    return gain, ask[~known]
+
+
+def _join_whole(found: Frequent, min_count: int, group: int, blocks: pd.Series) -> list[dict]:
+    """N-grams of a group joined to the counts of all orders, which are all in the group: sums and open words."""
+    parts = [_unpack(block) for block in blocks]
+    doc, grams = np.concatenate([np.repeat(p[0], p[2]) for p in parts]), np.concatenate([p[4] for p in parts], axis=1)
+    del parts
+    # in pieces, still by last context words, that a processor's cache holds
+    pieces = 1 + len(doc) // PIECE
+    piece = ((_keys(grams[-2:-1]) & np.uint64(0xFFFFF)) % np.uint64(pieces)).astype(np.uint16)
+    by = np.argsort(piece, kind="stable")
+    edges = np.concatenate([[0], np.cumsum(np.bincount(piece, minlength=pieces))])
+    gain, opened = np.empty(len(doc)), []
+    for first, last in zip(edges[:-1], edges[1:]):
+        at = by[first:last]
+        gain[at], left = _backed_off(found, min_count, grams[:, at])
+        opened.append(at[left])
+    ask = np.concatenate(opened)
+    docs, owner = np.unique(doc, return_inverse=True)
+    out = list(_sums(found, docs, np.bincount(owner, gain, minlength=len(docs))))
+    return out + [_finished(_opened(doc[ask], grams[-1, ask]), group)] * (len(ask) > 0)
+
+
+def _join_counts(found: Frequent, min_count: int, blocks: pd.Series) -> tuple[pd.DataFrame, list[dict]]:
+    """N-grams of a group joined to the n-gram and context counts of the group: open rows, and blocks of sums and of the next shorter order."""
     parts = [_unpack(block) for block in blocks]
     doc = np.concatenate([np.repeat(p[0], p[2]) for p in parts])
     carriers, carry = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    times = np.concatenate([p[3] for p in parts]).astype(np.int64)
+    times = np.concatenate([p[3] for p in parts])
     own = [p[4].shape[1] - len(p[3]) for p in parts]
     grams = np.concatenate([p[4][:, :n] for p, n in zip(parts, own)] + [p[4][:, n:] for p, n in zip(parts, own)], axis=1)
     del parts
     size, weight = len(doc), np.concatenate([np.ones(len(doc), np.int64), times])
-    _, place = np.unique(_keys(grams), return_inverse=True)
-    count = np.bincount(place, weight)[place]
-    _, context = np.unique(_keys(grams[:-1]), return_inverse=True)
-    log_followed = np.log(np.bincount(context, weight))[context]
-    often, logs = found.contexts(grams[:-1])
-    log_followed[often] = logs
+    count, log_followed = _counted(found, grams, weight)
     seen = count >= min_count
     gain = np.where(seen, np.log(count) - log_followed, np.log(BACKOFF))[:size]
     ask = np.flatnonzero(~seen[:size])
@@ -348,19 +554,19 @@ def _join_counts(found: Frequent, min_count: int, groups: int, blocks: pd.Series
     asking, at = np.unique(owner[ask], return_index=True)
     carried = np.zeros(len(docs), bool)
     carried[asking] = True
-    none = np.empty(0, np.int64)
     if len(shorter) == 1:
         rows = _rows(doc[ask], shorter[0, ask], np.ones(len(ask)), docs[~carried], sums[~carried], np.zeros((~carried).sum(), np.int64))
         total = rows["part"].to_numpy().copy()
         total[at] = sums[carried]
         return rows.assign(part=total), []
-    rows = _rows(none, none.view(np.uint64), np.empty(0), docs[~carried], sums[~carried], np.zeros((~carried).sum(), np.int64))
     # the counts of the shorter order also hold what was seen here
     rest = np.concatenate([np.flatnonzero(seen[:size]), np.arange(size, len(weight))])
     rest = rest[~found.settle(shorter[:, rest])[0]]
     _, first, place = np.unique(_keys(shorter[:, rest]), return_index=True, return_inverse=True)
     counted = shorter[:, rest[first]]
-    return rows, list(_dealt(found, groups, docs, owner[ask], shorter[:, ask], sums, counted, np.bincount(place, weight[rest], minlength=len(first)).astype(np.int64)))
+    times = np.bincount(place, weight[rest], minlength=len(first)).astype(np.int64)
+    moved = _dealt(found, docs, owner[ask], shorter[:, ask], sums, counted, times)
+    return _rows(_NONE, _NONE, np.empty(0), _NONE, np.empty(0), _NONE), [*_sums(found, docs[~carried], sums[~carried]), *moved]
 
 
 def score(docs: DataFrame, min_count: int = 2, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
@@ -381,32 +587,43 @@ def score(docs: DataFrame, min_count: int = 2, id_col: str = "doc_id", text_col:
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
     table = cut_lineage(word_table(rows))
     found = frequent(rows, table, order, min_count)
+    found.share_out(order)
     shared = docs.sparkSession.sparkContext.broadcast(found)
-    groups = max(1, -(-found.total * order // (2 * GROUP)))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for ids, lengths, codes in _buffers(batches):
-            yield pd.DataFrame(list(_deal(shared.value, order, groups, ids, lengths, codes)))
+            yield pd.DataFrame(list(_deal(shared.value, order, ids, lengths, codes)))
 
     def back_off(n: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         def step(rows: pd.DataFrame) -> pd.DataFrame:
-            if rows["group"].iloc[0] >> 40 != n:
+            found, kind, out = shared.value, rows["group"].iloc[0] >> 40, []
+            if kind == SUMS:
+                out = list(_sums(found, *_summed(rows["block"])))
+            elif kind == WHOLE:
+                out = _join_whole(found, min_count, int(rows["group"].iloc[0]), rows["block"])
+            elif kind == n:
+                out = _join_counts(found, min_count, rows["block"])[1]
+            else:
                 return rows
-            finished, moved = _join_counts(shared.value, min_count, groups, rows["block"])
-            return pd.DataFrame([_finished(finished)] * (len(finished) > 0) + moved, columns=["group", "block"])
+            return pd.DataFrame(out, columns=["group", "block"])
 
         return step
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
-        if rows["group"].iloc[0] < 0:
-            return pd.DataFrame.from_records(np.concatenate([_unfinished(b) for b in rows["block"]]))
-        return _join_counts(shared.value, min_count, groups, rows["block"])[0]
+        kind = rows["group"].iloc[0] >> 40
+        if kind < 0:
+            return pd.concat([_unfinished(b) for b in rows["block"]])
+        if kind == SUMS:
+            docs, sums = _summed(rows["block"])
+            return _rows(_NONE, _NONE, np.empty(0), docs, sums, np.zeros(len(docs), np.int64))
+        return _join_counts(shared.value, min_count, rows["block"])[0]
 
     moved = rows.mapInPandas(deal, "group long, block binary")
     for n in range(order, 2, -1):
         moved = moved.groupBy("group").applyInPandas(back_off(n), "group long, block binary")
     joined = moved.groupBy("group").applyInPandas(join, _OUT)
-    backed = joined.join(table.select("word", "n").withColumnRenamed("n", "_count"), "word", "left")
+    # the log of a count of 1 adds nothing
+    backed = joined.join(table.where("n > 1").select("word", F.col("n").alias("_count")), "word", "left")
     total = F.sum("part") + F.coalesce(F.sum(F.col("weight") * F.log("_count")), F.lit(0.0))
     sums = backed.groupBy("doc").agg(F.sum("n").alias("n_words"), total.alias("log_prob"))
     return sums.select(

@@ -244,6 +244,40 @@ def test_lm_scores_of_longer_contexts(spark, monkeypatch, order, limits):
     assert lm_score.score(empty_docs(spark), order=order).count() == 0
 
 
+@pytest.mark.parametrize("order,limits", [(3, (64, 16, 300, 40)), (3, (64, 16, 300, 100_000)), (4, (64, 16, 300, 100_000)), (4, (32, 32, 100, 40))])
+def test_lm_scores_with_words_beyond_a_group(spark, monkeypatch, order, limits):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(80).collect()]
+    rows += [(1000 + i, "the " * i + f"rare{i % 7} the rare{i % 5} x{i} the") for i in range(60)] + [(2000, "x"), (2001, "x the"), (2001, "x the"), (2002, None)]
+    for name, value in zip(("HOT_WORDS", "HOT_PAIRS", "BUFFER", "GROUP"), limits):
+        monkeypatch.setattr(lm_score, name, value)
+    got = {r.doc_id: r for r in lm_score.score(spark.createDataFrame(rows, "doc_id long, text string"), order=order).collect()}
+    want = plain_backoff(rows, order)
+    assert got.keys() == want.keys()
+    for doc, (n, gain) in want.items():
+        assert got[doc].n_words == n and got[doc].log_prob == pytest.approx(gain, rel=1e-9)
+
+
+def test_lm_rows_move_once():
+    """Rows back off where they are, unless their last context word has more rows than a group."""
+    rnd = random.Random(7)
+    texts = [" ".join(f"w{int(rnd.paretovariate(0.7))}" for _ in range(300)) for _ in range(40)]
+    codes = np.concatenate([lm_score._codes(t) for t in texts])
+    words, n = np.unique(codes, return_counts=True)
+    found = lm_score.Frequent(len(codes), words[n > 9], n[n > 9], n[n > 9])
+    for order in (2, 3):
+        found.set_grams(order, *[np.empty(0, np.int64)] * 3)
+    found.share_out(3)
+    blocks = list(lm_score._deal(found, 3, np.arange(40), np.full(40, 300), codes))
+    assert {b["group"] >> 40 for b in blocks} == {-1, lm_score.WHOLE}
+    whole = [b for b in blocks if b["group"] >= 0]
+    assert len(whole) == 1 and lm_score._unpack(whole[0]["block"])[4].shape == (3, 40 * 299)
+    out = lm_score._join_whole(found, 2, whole[0]["group"], [whole[0]["block"]])
+    assert {b["group"] >> 40 for b in out} == {-1, lm_score.SUMS}
+    found.hot = 1
+    kinds = {b["group"] >> 40 for b in lm_score._deal(found, 3, np.arange(40), np.full(40, 300), codes)}
+    assert kinds == {-1, lm_score.WHOLE, 2, 3}
+
+
 # --- encoding ---
 
 
