@@ -18,6 +18,8 @@ from logloom.session import cut_lineage
 BROADCAST_TERMS = 200_000
 #: Numbers in a table of word vectors that is broadcast.
 BROADCAST_NUMBERS = 4_000_000
+#: Documents whose (doc, term) pairs are counted and weighed by one task.
+DOCUMENTS_PER_TASK = 2048
 
 
 def term_counts(df: DataFrame, doc: str, tokens: str) -> DataFrame:
@@ -98,8 +100,10 @@ def tfidf(
     broadcast_terms: int = BROADCAST_TERMS,
 ) -> DataFrame:
     """(doc, term, weight), L2-normalised per document unless ``norm`` is off."""
-    # tokens are dealt by document once: pairs are counted, weighed and normalised where they are
-    counts = term_counts(df.select(doc, tokens).repartition(doc), doc, tokens)
+    # tokens are dealt by document once: pairs are counted, weighed and normalised where they are,
+    # in as many tasks as there are documents for, whatever the session's number of partitions
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.select(doc).count() // DOCUMENTS_PER_TASK))
+    counts = term_counts(df.select(doc, tokens).repartition(tasks, doc), doc, tokens)
     freqs = cut_lineage(frequencies_of(counts))
     idf = _weighted_terms(freqs, row_total(df), min_df, max_df)
     joined = _with_idf(counts, freqs, idf, broadcast_terms)

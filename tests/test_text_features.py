@@ -255,3 +255,13 @@ def test_tails_with_unknown_words_are_read_whole(spark):
     known = spark.createDataFrame([("a", 5, 1), ("b", 4, 2)], "word STRING, n LONG, idx INT")
     found = text.encode(rows, "id", "words", known, 2)
     assert {r.id: list(r.sequence) for r in found.collect()} == {1: [2, 2], 2: [0, 2], None: [2, 1], 3: [0, 0], 4: [2, 1]}
+
+
+def test_tfidf_tasks_grow_with_the_documents(spark, monkeypatch):
+    rows = [(i, ["all", f"w{i % 9}", f"x{i}"]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    plain = {(r.id, r.term): r.weight for r in features.tfidf(df, "id", "tokens").collect()}
+    monkeypatch.setattr(features, "DOCUMENTS_PER_TASK", 5)
+    weights = features.tfidf(df, "id", "tokens")
+    assert weights.rdd.getNumPartitions() == 60
+    assert {(r.id, r.term): r.weight for r in weights.collect()} == pytest.approx(plain)
