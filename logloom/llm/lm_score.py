@@ -25,11 +25,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.words import hashes, lower_words, mixed
+from logloom.llm.words import mixed
 from logloom.session import cut_lineage
 
 HOT_WORDS, HOT_PAIRS = 1 << 15, 1 << 12
@@ -47,26 +48,55 @@ START = COLD - np.uint64(1)
 #: Kinds of groups beside the orders: sums of documents, rows that back off in place.
 SUMS, WHOLE = 0, 1
 NO_ID = np.iinfo(np.int64).min
+#: Characters of texts whose words are found at once, about.
+CHARS = 1 << 16
+_INSIDE = ~np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_PLACES = 64
+_NUMBERS = mixed(mixed(mixed(np.arange(1, _PLACES * 256 + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))))
 
 
-def _codes(text: str | None) -> np.ndarray:
-    return (hashes(lower_words(text)) >> np.uint64(25)) | COLD
+def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The word codes of some texts in a row, and how many each text has.
+
+    A word is the sum of a 64-bit number per byte and place, taken for all words at
+    once; longer words than there are places are hashed one by one.
+    """
+    data = [(text or "").encode("utf-8", "replace").lower() + b" " for text in texts]
+    joined = b"".join(data)
+    chars = np.frombuffer(joined, np.uint8)
+    inside = _INSIDE[chars]
+    edges = np.flatnonzero(np.diff(inside, prepend=False))
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return np.empty(0, np.uint64), np.zeros(len(data), np.int64)
+    offsets = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(offsets, sizes)
+    summed = np.add.reduceat(_NUMBERS[(place & (_PLACES - 1)) << 8 | chars[inside]], offsets)
+    for at in np.flatnonzero(sizes > _PLACES):
+        summed[at] = xxhash.xxh3_64_intdigest(joined[starts[at] : starts[at] + sizes[at]])
+    ends = np.searchsorted(starts, np.cumsum([len(d) for d in data]))
+    return (mixed(summed) >> np.uint64(25)) | COLD, np.diff(ends, prepend=0)
 
 
 def _buffers(batches: Iterator[pd.DataFrame], times: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Ids, lengths and word codes of consecutive documents, ``times`` ``BUFFER`` words or more at a time."""
-    ids, parts, size = [], [], 0
+    ids, lengths, parts, size = [], [], [], 0
+    chars = min(CHARS, 8 * times * BUFFER)
     for batch in batches:
-        for doc, text in zip(batch["id"], batch["text"]):
-            codes = _codes(text)
-            ids.append(doc)
+        texts = batch["text"].tolist()
+        ends = np.cumsum([len(text or "") for text in texts]) // chars
+        runs = np.append(0, np.flatnonzero(np.diff(ends, append=-1)) + 1)
+        for first, last in zip(runs[:-1], runs[1:]):
+            codes, n = _codes(texts[first:last])
+            ids.append(batch["id"].to_numpy(np.int64)[first:last])
+            lengths.append(n)
             parts.append(codes)
             size += len(codes)
             if size >= times * BUFFER:
-                yield np.array(ids, np.int64), np.array([len(p) for p in parts]), np.concatenate(parts)
-                ids, parts, size = [], [], 0
+                yield np.concatenate(ids), np.concatenate(lengths), np.concatenate(parts)
+                ids, lengths, parts, size = [], [], [], 0
     if ids:
-        yield np.array(ids, np.int64), np.array([len(p) for p in parts]), np.concatenate(parts)
+        yield np.concatenate(ids), np.concatenate(lengths), np.concatenate(parts)
 
 
 def _first_words(lengths: np.ndarray) -> np.ndarray:

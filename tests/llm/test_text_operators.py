@@ -257,11 +257,22 @@ def test_lm_scores_with_words_beyond_a_group(spark, monkeypatch, order, limits):
         assert got[doc].n_words == n and got[doc].log_prob == pytest.approx(gain, rel=1e-9)
 
 
+def test_lm_codes_are_one_per_word():
+    rnd = random.Random(5)
+    texts = [t for _, t in EDGES] + ["".join(rnd.choice("abAB \t\x0b\x1cé\n\u3000") for _ in range(rnd.randint(0, 400))) for _ in range(60)]
+    texts += ["x" * n + " " + "y" * n + " " + "X" * n for n in (63, 64, 65, 128, 5000)] + [f"w{i}" for i in range(3000)]
+    codes, lengths = lm_score._codes(texts)
+    want = [w for t in texts for w in lower_words(t)]
+    assert lengths.tolist() == [len(lower_words(t)) for t in texts] and len(codes) == len(want)
+    assert len(set(zip(want, codes.tolist()))) == len(set(want)) == len(set(codes.tolist()))
+    assert lm_score._codes([None, "", " \n"])[1].tolist() == [0, 0, 0] and lm_score._codes([])[1].tolist() == []
+
+
 def test_lm_rows_move_once():
     """Rows back off where they are, unless their last context word has more rows than a group."""
     rnd = random.Random(7)
     texts = [" ".join(f"w{int(rnd.paretovariate(0.7))}" for _ in range(300)) for _ in range(40)]
-    codes = np.concatenate([lm_score._codes(t) for t in texts])
+    codes = lm_score._codes(texts)[0]
     words, n = np.unique(codes, return_counts=True)
     found = lm_score.Frequent(len(codes), words[n > 9], n[n > 9], n[n > 9])
     for order in (2, 3):
