@@ -52,7 +52,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Token counts and digests of the ids and of the decoded bytes of every row, null and repeated ids included."""
     whole_texts(spark)
     tokenizer = byte_bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return byte_bpe.digests(tokenizer.encode(docs), tokenizer)
+    return byte_bpe.digests(tokenizer.round_trip(docs), tokenizer)
 
 
 STAGES = [

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -127,23 +126,34 @@ class ByteBPE:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
-def codec(content: bytes, pattern: str) -> ByteBPE:
-    """One codec per worker; building it takes a fraction of a second."""
-    return ByteBPE(read_ranks(content), pattern)
+class Vocabulary:
+    """What a codec is built from. A worker builds it at the first use and drops it together with the broadcast."""
+
+    def __init__(self, content: bytes, pattern: str):
+        self.content, self.pattern = content, pattern
+        self._codec: ByteBPE | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_codec": None}
+
+    @property
+    def codec(self) -> ByteBPE:
+        if self._codec is None:
+            self._codec = ByteBPE(read_ranks(self.content), self.pattern)
+        return self._codec
 
 
 class Tokenizer:
     """Column-level encoding for a vocabulary file.
 
     The driver reads the file once (its size does not hang on the data) and
-    broadcasts its bytes, so executors need no copy of it.
+    broadcasts its bytes, so executors need no copy of it. Spark takes the broadcast
+    from a worker that goes on with other work, and the codec with its memos goes too.
     """
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
         with open(path, "rb") as file:
-            self.content = spark.sparkContext.broadcast(file.read())
-        self.pattern = pattern
+            self.shared = spark.sparkContext.broadcast(Vocabulary(file.read(), pattern))
 
     def encode(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """``(id, token_ids)`` of every row; ids as little-endian unsigned 32-bit integers.
@@ -152,34 +162,45 @@ class Tokenizer:
         are kept row by row; an empty table gives an empty one; further columns
         of whatever name are not read.
         """
-        content, pattern = self.content, self.pattern
+        return self._encoded(docs, id_col, text_col, decoded=False)
+
+    def round_trip(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """``encode`` with the bytes that the ids stand for as ``decoded``, from one codec per task."""
+        return self._encoded(docs, id_col, text_col, decoded=True)
+
+    def _encoded(self, docs: DataFrame, id_col: str, text_col: str, decoded: bool) -> DataFrame:
+        shared = self.shared
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            bpe = codec(content.value, pattern)
+            bpe = shared.value.codec
             for batch in batches:
                 ids = [bpe.encode(text) for text in batch["text"]]
-                yield pd.DataFrame({"id": batch["id"], "token_ids": pd.Series(ids, dtype=object)})
+                out = {"id": batch["id"], "token_ids": pd.Series(ids, dtype=object)}
+                if decoded:
+                    out["decoded"] = pd.Series([bpe.decode(x) for x in ids], dtype=object)
+                yield pd.DataFrame(out)
 
         rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        kind = dict(docs.dtypes)[id_col]
-        return rows.mapInPandas(run, f"id {kind}, token_ids binary").withColumnRenamed("id", id_col)
+        kind = f"id {dict(docs.dtypes)[id_col]}, token_ids binary" + ", decoded binary" * decoded
+        return rows.mapInPandas(run, kind).withColumnRenamed("id", id_col)
 
     def decode(self, token_ids: Column) -> Column:
         """The bytes that a binary column of ids stands for; null for null."""
-        content, pattern = self.content, self.pattern
+        shared = self.shared
 
         def run(column: pd.Series) -> pd.Series:
-            bpe = codec(content.value, pattern)
+            bpe = shared.value.codec
             return pd.Series([None if ids is None else bpe.decode(ids) for ids in column], dtype=object)
 
         return F.pandas_udf(run, "binary")(token_ids)
 
 
 def digests(encoded: DataFrame, tokenizer: Tokenizer, id_col: str = "doc_id") -> DataFrame:
-    """Number of ids, digest of the ids and digest of the decoded bytes per row."""
+    """Number of ids, digest of the ids and digest of the decoded bytes (decoded here, if they are not there) per row."""
+    decoded = F.col("decoded") if "decoded" in encoded.columns else tokenizer.decode(F.col("token_ids"))
     return encoded.select(
         id_col,
         F.expr("cast(length(token_ids) div 4 as long)").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),
-        F.sha2(tokenizer.decode(F.col("token_ids")), 256).alias("decoded_sha256"),
+        F.sha2(decoded, 256).alias("decoded_sha256"),
     )

@@ -233,7 +233,8 @@ def label(docs: DataFrame, model: LanguageModel, sure: float = 0.9, text_col: st
         return pd.Series(out, dtype=object)
 
     names = docs.columns
-    told = F.pandas_udf(found, "string")(F.col(text_col).cast("string"), F.col(lang_col).cast("string"))
+    # the optimizer would put the answer into the filter, too, and ask a second worker for it
+    told = F.pandas_udf(found, "string").asNondeterministic()(F.col(text_col).cast("string"), F.col(lang_col).cast("string"))
     rows = docs.select(*names, told.alias("_told")).where("_told is not null")
     lang = F.coalesce(F.nullif("_told", F.lit("")).cast(docs.schema[lang_col].dataType), F.col(lang_col)).alias(lang_col)
     return rows.select(*(lang if name == lang_col else F.col(name) for name in names))

@@ -115,7 +115,7 @@ def op9_byte_bpe(t: Tables) -> DataFrame:
     """Every document encoded and decoded again."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     tokenizer = byte_bpe.Tokenizer(t.spark, path, pattern)
-    return byte_bpe.digests(tokenizer.encode(t.documents), tokenizer)
+    return byte_bpe.digests(tokenizer.round_trip(t.documents), tokenizer)
 
 
 @query

@@ -1,11 +1,13 @@
 """Language, toxicity, quality, scoring and encoding against plain versions and edge rows."""
 
 import base64
+import gc
 import math
 import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -72,6 +74,14 @@ def test_language_edges(spark):
     assert kept.columns == edge_docs(spark).columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 6, 7, 7, 8]
 
 
+def test_label_asks_once(spark):
+    model = language.LanguageModel({"en": ["the cat and the dog"], "de": ["der hund und die katze"]}, 100)
+    kept = language.label(edge_docs(spark).withColumn("lang", F.lit(None).cast("string")), model)
+    # the optimizer once copied the answer into the filter: two workers per task, each text parsed twice
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted((r.doc_id or 0, r.lang) for r in kept.collect()) == [(0, "en"), (6, "en"), (7, "en"), (7, "en"), (8, "en")]
+
+
 # --- toxicity ---
 
 
@@ -310,6 +320,23 @@ def test_bpe_equals_library(spark):
     assert byte_bpe.digests(tokenizer.encode(empty_docs(spark)), tokenizer).count() == 0
 
 
+def test_bpe_one_codec_per_task(spark):
+    tokenizer = byte_bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    once = byte_bpe.digests(tokenizer.round_trip(edge_docs(spark)), tokenizer)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and "ArrowEvalPython" not in plan
+    twice = byte_bpe.digests(tokenizer.encode(edge_docs(spark)), tokenizer)
+    assert Counter(once.collect()) == Counter(twice.collect()) and once.columns == twice.columns
+    assert byte_bpe.digests(tokenizer.round_trip(empty_docs(spark)), tokenizer).count() == 0
+
+    def codecs(batches):
+        gc.collect()
+        yield pd.DataFrame({"n": [sum(type(x).__name__ == "ByteBPE" for x in gc.get_objects())]})
+
+    # a worker that goes on with other work keeps no codec
+    assert spark.range(64).repartition(8).mapInPandas(codecs, "n long").agg(F.max("n")).first()[0] == 0
+
+
 # --- mixing ---
 
 
