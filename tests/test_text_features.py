@@ -1,4 +1,5 @@
 import math
+import time
 from collections import Counter
 
 import pytest
@@ -265,3 +266,29 @@ def test_tfidf_tasks_grow_with_the_documents(spark, monkeypatch):
     weights = features.tfidf(df, "id", "tokens")
     assert weights.rdd.getNumPartitions() == 60
     assert {(r.id, r.term): r.weight for r in weights.collect()} == pytest.approx(plain)
+
+
+def test_pairs_of_documents_do_not_move_again_once_weighed(spark):
+    """Rare and frequent terms are normalised apart, in place; documents without an id count as one."""
+    rows = [(1, ["a", "b", 'q"\\ \n', None]), (None, ["a", "c"]), (None, ["a", "c", "d"]), (2, ["b", "e", "f"]), (1, ["g"]), (3, None), (4, [])]
+    df = spark.createDataFrame(rows, "id INT, tokens ARRAY<STRING>")
+    plain = {(r.id, r.term): r.weight for r in features.tfidf(df, "id", "tokens").collect()}
+    assert len(plain) == 10 and plain[1, 'q"\\ \n'] == pytest.approx(plain[1, "g"])
+    for length in (True, False):
+        want = {(r.id, r.term): r.weight for r in features.tfidf(df, "id", "tokens", norm=length).collect()}
+        dealt = features.tfidf(df, "id", "tokens", norm=length, broadcast_terms=2)
+        assert {(r.id, r.term): r.weight for r in dealt.collect()} == pytest.approx(want)
+        above = dealt._jdf.queryExecution().executedPlan().toString().split("Union")[0]
+        assert "Exchange" not in above and "Window" not in above
+
+
+def test_stored_rows_leave_no_shuffle_files(spark):
+    from logloom.session import stored
+
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = blocks.getAllFiles().size()
+    rows = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.time() + 20
+    while blocks.getAllFiles().size() > before and time.time() < until:
+        time.sleep(0.2)
+    assert rows.count() == 7 and time.time() < until
