@@ -190,3 +190,53 @@ def test_bases_that_share_items_lie_in_one_bucket(spark):
         assert places.groupBy("base_id", "_slice").count().where("count > 1").isEmpty()
         found.append(owned.join(places, "base_id").select("bucket", "item_id").distinct().count())
     assert found[1] <= 1.5 * 4 * found[0]
+
+
+def test_pairs_travel_packed_and_few_reach_the_sort(spark):
+    """Baskets move as packed runs, and a task leaves k pairs of an item; the nearest are the same in small chunks."""
+    rng = random.Random(9)
+    prefs = sorted({(rng.randrange(30), rng.choice((1, -1)) * rng.randrange(40) * 10**9) for _ in range(400)})
+    df = spark.createDataFrame(prefs, "base_id LONG, item_id LONG")
+    sim, _ = brute(prefs, 4)
+    ways = {}
+    for (a, b), s in sim.items():
+        ways.setdefault(a, []).append((-round(s, 9), b))
+        ways.setdefault(b, []).append((-round(s, 9), a))
+    want = {(i, o, -s, n) for i, near in ways.items() for n, (s, o) in enumerate(sorted(near)[:3], 1)}
+    found = recsys.top_neighbours(recsys.item_similarity(df), 3)
+    assert {tuple(r) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().toString()
+    assert "_packed" in plan and plan.split("== Physical Plan ==")[1].count("MapInArrow") >= 3
+    frame = df.sparkSession.createDataFrame([(1, 2, None), (1, 3, float("nan")), (2, 3, 0.5), (None, 3, 0.7)], "item_a LONG, item_b LONG, similarity DOUBLE")
+    odd = {tuple(map(str, r)) for r in recsys.top_neighbours(frame, 2).collect()}
+    assert odd == {tuple(map(str, r)) for r in recsys.top_neighbours(frame.withColumn("item_a", F.col("item_a").cast("int")), 2).collect()}
+    assert len(odd) == 7
+
+
+def test_runs_are_counted_in_chunks(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from logloom.plans import packed
+
+    rng = random.Random(10)
+    baskets = [sorted(rng.sample(range(0, 300, 7), rng.randrange(1, 20))) for _ in range(60)]
+    want = {}
+    for basket in baskets:
+        for pair in combinations(basket, 2):
+            want[pair] = want.get(pair, 0) + 1
+    column = pa.array(baskets, pa.list_(pa.int64()))
+    none = pa.array([None] * 60, pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([column, column, none, none], ["_own", "_ns", "_ids", "_other_ns"])
+    for entries in (4_000_000, 8):
+        monkeypatch.setattr(recsys, "CELL_ENTRIES", entries)
+        parts = {}
+        for out in recsys._dealer(np.array([0, 40, 200]), np.array([1, 3, 2]))([batch.slice(i, 7) for i in range(0, 60, 7)]):
+            for part, salt, value in zip(*out.to_pydict().values()):
+                parts.setdefault((part, salt), []).append(value)
+        assert len(parts) == 6
+        found = [tuple(map(int, row)) for values in parts.values() for rows in recsys._counted(values) for row in zip(*rows)]
+        assert {(a, b): n for a, b, n, _, _ in found} == want and len(found) == len(want)
+        assert all((x, y) == (a, b) for a, b, _, x, y in found)
+    big = np.array([3, -(2**62), 2**62, 2**63 - 1, -(2**63)])
+    assert [a.tolist() for a in packed.unpack(packed.pack(big, big[:0], big / 7))] == [big.tolist(), [], (big / 7).tolist()]
