@@ -240,3 +240,36 @@ def test_runs_are_counted_in_chunks(monkeypatch):
         assert all((x, y) == (a, b) for a, b, _, x, y in found)
     big = np.array([3, -(2**62), 2**62, 2**63 - 1, -(2**63)])
     assert [a.tolist() for a in packed.unpack(packed.pack(big, big[:0], big / 7))] == [big.tolist(), [], (big / 7).tolist()]
+
+
+def test_similarities_and_preferences_travel_packed(spark):
+    """Lists and preferences are bundled per cell, and similarities given as numbers have the same result."""
+    rng = random.Random(12)
+    prefs = sorted({(rng.randrange(25), rng.randrange(30) * 10**12 - 10**13) for _ in range(160)})
+    sim, recs = brute(prefs, 4)
+    df = spark.createDataFrame(prefs, "base_id LONG, item_id LONG")
+    given = spark.createDataFrame([(a, b, s) for (a, b), s in sim.items()], "item_a LONG, item_b LONG, similarity DOUBLE")
+    for kw in ({}, {"similarity": given}, {"bucket_prefs": 3, "panel_items": 2}):
+        rows = recsys.recommend(df, **kw).collect()
+        assert {(r.base_id, r.item_id): r.relevance for r in rows} == recs and len(rows) == len(recs)
+
+
+def test_bundles_grow_less_than_their_lists(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    from logloom.plans import packed
+
+    rng = np.random.default_rng(1)
+    n, rows = rng.integers(300, 400, 500), []
+    for i in range(100):
+        together = rng.integers(1, 6, 500)
+        lists = [[np.arange(500) * 3], [together], [n + n[i] - together]]
+        batch = pa.RecordBatch.from_arrays([pa.array([i]), pa.array([0], pa.int32()), *[pa.array(x) for x in lists]], ["item_id", "panel", "_others", "_nums", "_dens"])
+        rows += [r.column("_list")[0].as_py() for r in recsys._packed_lists([batch])]
+    table = pa.RecordBatch.from_arrays([pa.array([7] * 100), pa.array([0] * 100, pa.int32()), pa.array(range(100)), pa.array(rows, pa.binary())], ["_bucket", "_panel", "_item", "_list"])
+    (out,) = packed.bundled(["_bucket", "_panel"], "_item", "_list")([table])
+    values = out.column("_bundle").to_pylist()
+    assert list(packed.unbundled(values)) == list(enumerate(rows))
+    # 16 bytes an entry as an id and a quotient
+    assert len(values) == 1 and len(values[0]) < 50_000
